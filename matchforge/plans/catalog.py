@@ -52,6 +52,11 @@ def performance_union_agg(spark, sf_dir):
                                    r["outcomes"], V.VIEW_CUTOFFS)
 
 
+def performance_single_pass(spark, sf_dir):
+    tl = V.timeline_view(_t(spark, sf_dir, "events"))
+    return V.performance_single_pass(tl, V.VIEW_CUTOFFS)
+
+
 def kill_death_single_pass(spark, sf_dir):
     return facts.kills_deaths_single_pass(_ref(spark, sf_dir)["kd"], V.VIEW_CUTOFFS)
 
@@ -313,6 +318,55 @@ def union_missing_columns(spark, sf_dir):
     return s.unionByName(c, allowMissingColumns=True)
 
 
+# -- model -----------------------------------------------------------------------
+
+def _champion_dim(spark, sf_dir):
+    """A champion dimension derived from part (one row per part key)."""
+    p = _t(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").cast("int").alias("champion_id"),
+                    F.col("p_name").alias("champion_name"),
+                    F.col("p_size").alias("attack"),
+                    F.floor(F.col("p_retailprice") / 100).cast("int").alias("defense"),
+                    F.length("p_name").alias("magic"))
+
+
+def model_score(spark, sf_dir, seed: int = 7):
+    """Performance ⟕ champion -> seeded 3-fold search over C -> refit ->
+    predicted outcome word for every (match, player). Rows-only check."""
+    from matchforge.operators.load import stage
+    from matchforge.operators.model import score, tune_and_fit
+    perf = performance_single_pass(spark, sf_dir).select(
+        "match_id", "puuid", "champion_id", F.col("no_kills").alias("kills"),
+        F.col("no_deaths").alias("deaths"), F.col("gold_at_10").alias("gold"),
+        F.col("minions_at_10").alias("minions"), F.col("xp_at_10").alias("xp"),
+        F.col("ward_count").alias("wards"), "outcome_id")
+    table = stage(left_enrich(perf, _champion_dim(spark, sf_dir), ["champion_id"]), "ml-table")
+    # The feature table of the source: ids and names dropped, label kept.
+    training = table.drop("champion_id", "match_id", "puuid", "champion_name")
+    result = tune_and_fit(training, seed=seed)
+    return score(result.model, table, keep=["match_id", "puuid", "outcome_id"])
+
+
+# -- incremental load ---------------------------------------------------------------
+
+def incremental_load(spark, sf_dir):
+    """Events land in two overlapping waves (the first half of the month, then
+    the whole month); a file stream appends each micro-batch to the target,
+    skipping event ids already there. The target ends up with every event
+    once."""
+    from matchforge.streaming.incremental import run_incremental_load
+    ev = _t(spark, sf_dir, "events")
+    landing = scratch_path(spark, "landing")
+    cut = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    ev.filter(cut).write.mode("append").parquet(landing)
+    ev.write.mode("append").parquet(landing)
+    target = run_incremental_load(
+        spark, landing, ev.schema, scratch_path(spark, "events-target"),
+        scratch_path(spark, "events-stream-ckpt"), ["event_id"], max_files_per_trigger=4)
+    return target.select("event_id", "user_id", "event_type", "value", "props",
+                         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+
+
 KV_PATTERN = r"<(title|h1)>([^<]*)<"
 
 
@@ -324,6 +378,7 @@ def queries() -> dict[str, Builder]:
     return {
         "performance_table": performance_table,
         "performance_union_agg": performance_union_agg,
+        "performance_single_pass": performance_single_pass,
         "kill_death_single_pass": kill_death_single_pass,
         "ward_counts": ward_counts,
         "roster_filter": roster_filter,
@@ -353,4 +408,6 @@ def queries() -> dict[str, Builder]:
         "union_missing_columns": union_missing_columns,
         "kv_pivot": kv_pivot,
         "drop_any_null": drop_any_null_q,
+        "model_score": model_score,
+        "incremental_load": incremental_load,
     }

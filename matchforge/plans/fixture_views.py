@@ -80,13 +80,14 @@ def in_long_matches(df: DataFrame, tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataF
                    ["match_id"], "left_semi")
 
 
-def attributed_events(tl: DataFrame) -> DataFrame:
-    """tl rows in the flattened timeline-event shape (see module docstring)."""
+def attributed_events(tl: DataFrame, *extra: str) -> DataFrame:
+    """tl rows in the flattened timeline-event shape (see module docstring),
+    plus any ``extra`` tl columns passed through."""
     et, pos, k = F.col("event_type"), F.col("pos"), F.col("k")
     nxt = (pos % 10 + 1).cast("int")
     null_int = F.lit(None).cast("int")
     return tl.select(
-        "match_id", "puuid", "pos",
+        "match_id", "puuid", "pos", *extra,
         (F.when(et == "purchase", "CHAMPION_KILL").when(et == "error", "CHAMPION_KILL")
          .when(et == "click", "WARD_PLACED").when(et == "view", "WARD_KILL")
          .otherwise(F.upper(et))).alias("type"),
@@ -140,3 +141,46 @@ def reference_tables(spark: SparkSession, sf_dir: str, cutoffs=VIEW_CUTOFFS) ->
         "outcomes": outcome_rows(tl, cutoffs),
         "match_info": long_matches(tl, cutoffs).select("match_id", "duration"),
     }
+
+
+def performance_single_pass(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
+    """The performance fact in one scan of the events.
+
+    One ``groupBy(match_id, puuid)`` computes every per-player part: the three
+    counts as ``count_if`` with the same predicates the row tables use, the
+    chosen champion and the snapshot as ``min_by``, and the player's last
+    event. A second, small aggregate over those per-player rows gives each
+    match's duration and winning team; it has one row per day, so it is
+    broadcast back. Same rows as the six-input chain.
+    """
+    from matchforge.functions.scalar import encode_outcome
+    from matchforge.operators.facts import INT_COLS, PERFORMANCE_COLS
+    from matchforge.operators.filters import involved, ward_participant
+
+    ev = attributed_events(tl, "event_id", "k", "value")
+    early = F.col("timestamp") < cutoffs.event_before
+    order = F.struct(F.col("timestamp"), F.col("event_id"))
+    is_kd = involved("pos", "killerId", "victimId")
+    snap_order = F.when(F.col("timestamp") >= cutoffs.snapshot_at, order)
+    per_player = ev.groupBy("match_id", "puuid").agg(
+        F.count_if(early & is_kd & (F.col("killerId") == F.col("pos"))).alias("no_kills"),
+        F.count_if(early & is_kd & (F.col("victimId") == F.col("pos"))).alias("no_deaths"),
+        F.count_if(early & ward_participant("pos", "wardType", "creatorId", "killerId")
+                   .isNotNull()).alias("ward_count"),
+        F.min_by("k", order).alias("champion_id"),
+        F.min_by(F.struct("k", "value", "timestamp"), snap_order).alias("snap"),
+        F.max("pos").alias("pos"),
+        F.max(F.struct(F.col("timestamp"), F.col("event_id"), F.col("k"))).alias("last"))
+    per_match = per_player.groupBy("match_id").agg(F.max("last").alias("last")).select(
+        "match_id", F.col("last.timestamp").alias("duration"),
+        F.when(F.col("last.k") % 2 == 0, F.lit(BLUE_TEAM)).otherwise(F.lit(RED_TEAM))
+        .alias("winning_team")).filter(F.col("duration") >= cutoffs.min_duration)
+    out = per_player.join(F.broadcast(per_match), ["match_id"], "inner").select(
+        "match_id", "puuid", "champion_id", "no_kills", "no_deaths",
+        F.col("snap.k").alias("gold_at_10"),
+        F.floor("snap.value").alias("minions_at_10"),
+        (F.col("snap.timestamp") / 1000).cast("int").alias("xp_at_10"),
+        "ward_count",
+        encode_outcome(win_loss("winning_team", "pos")).alias("outcome_id"))
+    out = out.withColumns({c: F.col(c).cast("int") for c in INT_COLS})
+    return out.select(*PERFORMANCE_COLS).fillna(0, subset=INT_COLS)

@@ -85,6 +85,7 @@ WHERE r_name = 'EUROPE' AND c_mktsegment = 'BUILDING' AND c_nationkey IN (1, 2,
 ORACLE_SQL = {
     "performance_table": _PERFORMANCE,
     "performance_union_agg": _PERFORMANCE,
+    "performance_single_pass": _PERFORMANCE,
     "kill_death_single_pass": "WITH " + _TL + """
 SELECT match_id, puuid,
        count(*) FILTER (WHERE event_type = 'purchase') AS no_kills,
@@ -236,5 +237,9 @@ SELECT page_id,
        CASE WHEN coalesce(list_position(ks, 'title'), 0) > 0
             THEN vs[list_position(ks, 'title')] END AS title
 FROM s
+""",
+    "incremental_load": """
+SELECT event_id, user_id, event_type, value, props,
+       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events
 """,
 }
