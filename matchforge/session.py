@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "matchforge") -> SparkSession:
+                  app_name: str = "matchforge", extra: dict | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -27,6 +27,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("MATCHFORGE_DRIVER_MEMORY", "16g"))
     )
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
