@@ -88,7 +88,11 @@ def surrogate_key(df: DataFrame, order: Sequence[str], name: str = "serial_id",
     count, so broadcasting it is safe).
     """
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Sort on ``order`` and then every other column: the order is total, so a
+    # value shared by many rows (a hot date) still spreads over several range
+    # partitions, and a recomputed partition numbers its rows the same way.
+    total = list(order) + [c for c in df.columns if c not in order]
+    ordered = df.repartitionByRange(n, *total).sortWithinPartitions(*total)
     numbered = (ordered.withColumn("_mid", F.monotonically_increasing_id())
                 .withColumns({"_part": F.shiftright("_mid", 33),
                               "_row": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))}))

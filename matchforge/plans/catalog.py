@@ -347,6 +347,48 @@ def model_score(spark, sf_dir, seed: int = 7):
     return score(result.model, table, keep=["match_id", "puuid", "outcome_id"])
 
 
+# -- star schema load ---------------------------------------------------------------
+
+def star_batches(spark, sf_dir) -> dict:
+    """The eight star tables from the driver's tables: performance and match
+    from the timeline view of events; summoners are the event users, streamers
+    the customers, countries the nations, roles the regions, champions the
+    parts; the outcome dimension is the literal one."""
+    from matchforge.operators.dims import match_dim, outcome_dim, performance_for_load
+    cust = _t(spark, sf_dir, "customer")
+    nation = _t(spark, sf_dir, "nation")
+    region = _t(spark, sf_dir, "region")
+    users = _t(spark, sf_dir, "events").select("user_id").distinct()
+    tl = V.timeline_view(_t(spark, sf_dir, "events"))
+    return {
+        "country": nation.select(F.col("n_name").alias("country_name")),
+        "role": region.select(F.col("r_regionkey").alias("role_id"),
+                              F.col("r_name").alias("role_name")),
+        "champion": _champion_dim(spark, sf_dir),
+        "streamer": cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey).select(
+            F.col("c_custkey").cast("int").alias("streamer_id"),
+            F.col("c_name").alias("streamer_name"), F.col("c_name").alias("real_name"),
+            F.col("n_name").alias("birth_country"), F.col("n_regionkey").alias("role_id")),
+        "summoner": users.join(cust, users.user_id == cust.c_custkey, "left").select(
+            F.col("user_id").cast("string").alias("puuid"), F.col("c_name").alias("account_name"),
+            F.col("c_custkey").cast("int").alias("streamer_id")),
+        "match": match_dim(V.long_matches(tl).select("match_id", "duration")),
+        "outcome": outcome_dim(spark),
+        "performance": performance_for_load(V.performance_single_pass(tl)),
+    }
+
+
+def star_load(spark, sf_dir):
+    """All eight tables validated, then appended parents first into a fresh
+    database in the shared folder; the performance table is read back with
+    its serial ids."""
+    import uuid
+    from matchforge.operators.load import load_star
+    db = f"mf_star_{uuid.uuid4().hex[:12]}"
+    load_star(spark, db, star_batches(spark, sf_dir), location=scratch_path(spark, db))
+    return spark.table(f"{db}.performance")
+
+
 # -- incremental load ---------------------------------------------------------------
 
 def incremental_load(spark, sf_dir):
@@ -410,4 +452,5 @@ def queries() -> dict[str, Builder]:
         "drop_any_null": drop_any_null_q,
         "model_score": model_score,
         "incremental_load": incremental_load,
+        "star_load": star_load,
     }

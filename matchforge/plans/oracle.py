@@ -54,7 +54,7 @@ keys AS (
   UNION SELECT match_id, puuid FROM wards UNION SELECT match_id, puuid FROM outcomes)
 """
 
-_PERFORMANCE = "WITH " + _TL + """
+_PERF_SELECT = """
 SELECT k.match_id, k.puuid,
        CAST(coalesce(c.champion_id, 0) AS INTEGER) AS champion_id,
        CAST(coalesce(ki.no_kills, 0) AS INTEGER) AS no_kills,
@@ -73,6 +73,7 @@ LEFT JOIN scores s USING (match_id, puuid)
 LEFT JOIN wards w USING (match_id, puuid)
 LEFT JOIN outcomes o USING (match_id, puuid)
 """
+_PERFORMANCE = "WITH " + _TL + _PERF_SELECT
 
 _ROSTER = """
 SELECT c_custkey AS "DT_RowId", c_name AS plug, c_nationkey AS "roleNum", n_name AS role,
@@ -241,5 +242,14 @@ FROM s
     "incremental_load": """
 SELECT event_id, user_id, event_type, value, props,
        strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events
+""",
+    "star_load": "WITH " + _TL + ", perf AS (" + _PERF_SELECT + """)
+SELECT row_number() OVER (ORDER BY match_id, summoner_id, champion_id, kills, deaths, gold,
+                                   minions, xp, wards, outcome_id) AS performance_id,
+       match_id, summoner_id, champion_id, kills, deaths, gold, minions, xp, wards, outcome_id
+FROM (SELECT match_id, CAST(puuid AS VARCHAR) AS summoner_id, champion_id,
+             no_kills AS kills, no_deaths AS deaths, gold_at_10 AS gold,
+             minions_at_10 AS minions, xp_at_10 AS xp, ward_count AS wards, outcome_id
+      FROM perf)
 """,
 }
