@@ -110,7 +110,7 @@ def sample_candidates(seed: int, n: int = TUNE_CANDIDATES, grid=TUNE_C_GRID,
 
 def tune_and_fit(df: DataFrame, label: str = LABEL, seed: int = 0,
                  candidates: Sequence[float] | None = None, folds: int = TUNE_FOLDS,
-                 max_iter: int = MAX_ITER, parallelism: int = 4) -> TuneResult:
+                 max_iter: int = MAX_ITER, parallelism: int | None = None) -> TuneResult:
     """Randomised search over C with k-fold accuracy, then a refit of the best
     C on every row. ``df`` should be staged (read from storage)."""
     features = feature_columns(df, label)
@@ -128,6 +128,8 @@ def tune_and_fit(df: DataFrame, label: str = LABEL, seed: int = 0,
     # Fits are independent Spark jobs; run several at once (as CrossValidator's
     # ``parallelism`` does) so small fits do not leave executors idle.
     jobs = [(c, f) for c in cands if c > 0 for f in range(folds)]
+    if parallelism is None:
+        parallelism = min(len(jobs), df.sparkSession.sparkContext.defaultParallelism)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(fold_accuracy, jobs))
     scores: dict = {c: None for c in cands}          # C <= 0 stays null

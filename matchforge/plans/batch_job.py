@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchforge.operators import dims
+from matchforge.operators.filters import in_region, ranked_solo
 from matchforge.operators.flatten import extract_tables, performance_from_timelines
 from matchforge.operators.load import load_star, save_model, write_parquet
 from matchforge.operators.model import feature_table, tune_and_fit
@@ -35,7 +36,10 @@ class Landed:
 
 
 def extract(spark: SparkSession, landed: Landed, mode: str = "all",
-            profile_keys=("Name", "Birthplace")) -> dict[str, DataFrame]:
+            profile_keys=("Name", "Birthplace"), region: str | None = None,
+            ranked_only: bool = True) -> dict[str, DataFrame]:
+    """Flatten one run's landed documents. Only ranked-solo timelines are used
+    (``ranked_only``); ``region`` optionally restricts the accounts."""
     roster = D.roster(D.read_roster(spark, landed.roster), mode)
     pages = D.read_json(spark, landed.profiles, D.S.PROFILE_PAGE)
     profiles = D.profiles(pages.join(roster.select("DT_RowId"), ["DT_RowId"], "left_semi"),
@@ -43,9 +47,12 @@ def extract(spark: SparkSession, landed: Landed, mode: str = "all",
     accounts = D.latest_accounts(
         D.read_feeds(spark, landed.feeds).join(roster.select("DT_RowId"), ["DT_RowId"],
                                                "left_semi"))
+    accounts = in_region(accounts, region)
     summoners = D.summoners(D.read_summoners(spark, landed.summoners), accounts)
     players = summoners.select("puuid").filter(F.col("puuid").isNotNull())
     timelines = D.read_timelines(spark, landed.timelines)
+    if ranked_only:
+        timelines = ranked_solo(timelines, "info.queueId")
     details = D.read_match_details(spark, landed.details)
     out = extract_tables(timelines, details, players)
     out.update(roster=roster, profiles=profiles, accounts=accounts, summoners=summoners,

@@ -24,7 +24,11 @@ def _land(workdir):
     summoners = G.write_lines(f"{workdir}/summoners.json", [
         {"account_name": "acc1", "puuid": "A2"}, {"account_name": "acc6", "puuid": "A7"},
         {"account_name": "nobody", "puuid": "Z9"}])
-    timelines = G.write_lines(f"{workdir}/timelines.json", G.TIMELINES)
+    # a normal-queue match of a tracked player: ignored by the ranked filter
+    other = json.loads(json.dumps(G.M1))
+    other["metadata"]["matchId"] = "N1"
+    other["info"]["queueId"] = 400
+    timelines = G.write_lines(f"{workdir}/timelines.json", G.TIMELINES + [other])
     details = G.write_lines(f"{workdir}/details.json", G.DETAILS)
     champions = dump("catalog", {"data": {
         "X": {"key": "11", "name": "Eleven", "info": {"attack": 1, "defense": 2, "magic": 3}},
@@ -45,6 +49,7 @@ def test_extract_transform_load_twice(spark, workdir):
     assert first["performance"] == 2 and first["outcome"] == 2
     second = B.load(spark, B.transform(spark, B.extract(spark, landed)), db)
     assert all(n == 0 for n in second.values())
+    assert B.extract(spark, landed, region="EUNE")["players"].count() == 0
     ids = sorted(r.performance_id for r in spark.table(f"{db}.performance").collect())
     assert ids == [1, 2]
 
