@@ -11,7 +11,7 @@ from matchforge.params import BLUE_TEAM, MS_PER_MINUTE, RED_TEAM, TEAM_SIZE
 __all__ = [
     "col_of", "int_from_text", "ceil_minutes", "split_piece", "round_time",
     "position_in", "map_lookup_by_position", "win_loss", "encode_outcome",
-    "label_word", "offset_ms_since_day", "day_key",
+    "label_word", "offset_ms_since_day", "day_key", "micros_since_epoch",
 ]
 
 
@@ -81,11 +81,26 @@ def label_word(prediction) -> Column:
 
 
 def offset_ms_since_day(ts) -> Column:
-    """Milliseconds since the start of the row's day (time-zone free on
-    timestamp_ntz)."""
+    """Wall-clock milliseconds since midnight of a timestamp_ntz, truncated.
+
+    Built from the clock fields, which do not depend on the session time zone
+    (a difference of casted timestamps would shift by an hour on a
+    daylight-saving day in a non-UTC session)."""
+    t = col_of(ts)
+    millis = F.floor(F.extract(F.lit("SECOND"), t) * 1000).cast("long")
+    return (F.hour(t).cast("long") * 3600000 + F.minute(t).cast("long") * 60000 + millis)
+
+
+def micros_since_epoch(ts) -> Column:
+    """Exact microseconds since 1970-01-01 of a timestamp_ntz, from its date
+    and clock fields (time-zone free)."""
     t = col_of(ts)
-    return F.timestamp_diff("MILLISECOND", F.date_trunc("DAY", t), t)
+    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    micros = (F.extract(F.lit("SECOND"), t) * 1000000).cast("long")
+    return (days * 86400000000 + F.hour(t).cast("long") * 3600000000
+            + F.minute(t).cast("long") * 60000000 + micros)
 
 
 def day_key(ts) -> Column:
-    return F.date_format(col_of(ts), "yyyy-MM-dd")
+    """'yyyy-MM-dd' of a timestamp_ntz (time-zone free)."""
+    return col_of(ts).cast("date").cast("string")

@@ -51,9 +51,21 @@ def inner_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> Dat
     return rows.join(lookup, list(keys), "inner")
 
 
-def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in ``target`` (anti-join)."""
-    return rows.join(target.select(*keys), list(keys), "left_anti")
+def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str],
+                small_rows: int | None = None) -> DataFrame:
+    """Rows whose key is not in ``target`` (anti-join).
+
+    With ``small_rows``, when ``rows`` is proven to have at most that many rows
+    (an hourly batch against a table that keeps growing), the batch's keys are
+    broadcast into a semi-join over the target: the target is scanned but never
+    shuffled, and only the few keys it already has come back for the anti-join.
+    """
+    keys = list(keys)
+    if small_rows is not None and row_count_at_most(rows, small_rows):
+        probe = F.broadcast(rows.select(*keys).distinct())
+        hits = target.select(*keys).join(probe, keys, "left_semi")
+        return rows.join(hits, keys, "left_anti")
+    return rows.join(target.select(*keys), keys, "left_anti")
 
 
 def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchforge.functions.scalar import (ceil_minutes, encode_outcome, int_from_text,
-                                         map_lookup_by_position, position_in, split_piece)
+from matchforge.functions.scalar import (ceil_minutes, day_key, encode_outcome, int_from_text,
+                                         map_lookup_by_position, micros_since_epoch,
+                                         position_in, split_piece)
 from matchforge.operators import facts
 from matchforge.operators.aggregates import (first_wins, key_violations, latest,
                                              surrogate_key)
@@ -165,7 +166,7 @@ def latest_match_per_player(spark, sf_dir):
     top = latest(o, ["o_custkey"], ["o_orderdate", "o_orderkey"],
                  ["o_orderdate", "o_orderkey", "o_orderstatus"])
     return top.select("o_custkey", "o_orderkey",
-                      F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+                      day_key("o_orderdate").alias("o_orderdate"),
                       "o_orderstatus")
 
 
@@ -227,7 +228,7 @@ def first_wins_dedupe(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     out = first_wins(li, ["l_orderkey", "l_linenumber"],
                      ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"])
-    return out.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
+    return out.withColumn("l_shipdate", day_key("l_shipdate"))
 
 
 def append_if_absent_q(spark, sf_dir):
@@ -254,7 +255,7 @@ def key_violations_q(spark, sf_dir):
 def surrogate_key_q(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     out = surrogate_key(o, ["o_orderdate", "o_orderkey"], "serial_id")
-    return out.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return out.withColumn("o_orderdate", day_key("o_orderdate"))
 
 
 # -- nested values ------------------------------------------------------------------
@@ -406,7 +407,7 @@ def incremental_load(spark, sf_dir):
         spark, landing, ev.schema, scratch_path(spark, "events-target"),
         scratch_path(spark, "events-stream-ckpt"), ["event_id"], max_files_per_trigger=4)
     return target.select("event_id", "user_id", "event_type", "value", "props",
-                         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+                         micros_since_epoch("ts").alias("ts_us"))
 
 
 KV_PATTERN = r"<(title|h1)>([^<]*)<"

@@ -240,8 +240,7 @@ SELECT page_id,
 FROM s
 """,
     "incremental_load": """
-SELECT event_id, user_id, event_type, value, props,
-       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events
+SELECT event_id, user_id, event_type, value, props, epoch_us(ts) AS ts_us FROM events
 """,
     "star_load": "WITH " + _TL + ", perf AS (" + _PERF_SELECT + """)
 SELECT row_number() OVER (ORDER BY match_id, summoner_id, champion_id, kills, deaths, gold,
