@@ -24,7 +24,7 @@ def plan_summary(df: DataFrame) -> dict[str, int]:
     def count(pattern):
         return len(re.findall(pattern, tree))
     return {
-        "exchanges": count(r"\bExchange\b") - count(r"BroadcastExchange"),
+        "exchanges": count(r"\bExchange\b"),
         "broadcasts": count(r"BroadcastExchange"),
         "scans": count(r"Scan (parquet|csv|json)"),
         "sort_merge_joins": count(r"SortMergeJoin"),
