@@ -56,3 +56,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never a machine-local temp dir)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/matchforge/{name}-{uuid.uuid4().hex}"
+
+
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for a run over ``input_bytes`` of parquet on
+    ``total_cores`` executor cores (for example 100 TB on 1000 executors).
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` so a
+    task's working set fits executor memory and spills rarely; AQE coalesces
+    small shuffle partitions and splits skewed ones at run time; broadcasts the
+    planner chooses on its own stay small.
+    """
+    shuffle_parts = max(total_cores * 2, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle_parts)),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Apply runtime SQL settings to an existing session."""
+    for key, value in settings.items():
+        spark.conf.set(key, value)

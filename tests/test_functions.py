@@ -44,3 +44,10 @@ def test_position_and_map_lookup(spark):
 def test_label_word(spark):
     df = spark.createDataFrame([(1.0,), (0.0,)], "p DOUBLE")
     assert [r[0] for r in df.select(label_word("p")).collect()] == ["win", "loss"]
+
+
+def test_scale_settings_for_100tb():
+    from matchforge.session import scale_settings
+    s = scale_settings(100 * (1 << 40), 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert s["spark.sql.adaptive.skewJoin.enabled"] == "true"
