@@ -417,6 +417,13 @@ def kv_pivot(spark, sf_dir):
     return kv_wide(_t(spark, sf_dir, "pages"), "page_id", "html", ["h1", "title"], KV_PATTERN)
 
 
+def kv_pivot_dynamic(spark, sf_dir):
+    """Keys discovered from the data become columns (explode, then
+    ``groupBy(page_id).pivot(key)``, first occurrence wins)."""
+    from matchforge.sources.documents import kv_pivot_dynamic as pivot
+    return pivot(_t(spark, sf_dir, "pages"), "page_id", "html", KV_PATTERN)
+
+
 def queries() -> dict[str, Builder]:
     return {
         "performance_table": performance_table,
@@ -450,6 +457,7 @@ def queries() -> dict[str, Builder]:
         "map_values_rows": map_values_rows,
         "union_missing_columns": union_missing_columns,
         "kv_pivot": kv_pivot,
+        "kv_pivot_dynamic": kv_pivot_dynamic,
         "drop_any_null": drop_any_null_q,
         "model_score": model_score,
         "incremental_load": incremental_load,

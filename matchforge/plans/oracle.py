@@ -221,6 +221,17 @@ SELECT CAST(p_partkey AS INTEGER) AS champion_id, p_name AS champion_name, p_siz
        CAST(floor(p_retailprice / 100) AS INTEGER) AS defense,
        CAST(length(p_name) AS INTEGER) AS magic
 FROM part
+""",
+    "kv_pivot_dynamic": """
+WITH s AS (SELECT page_id,
+                  regexp_extract_all(html, '<(title|h1)>([^<]*)<', 1) AS ks,
+                  regexp_extract_all(html, '<(title|h1)>([^<]*)<', 2) AS vs FROM pages)
+SELECT page_id,
+       CASE WHEN coalesce(list_position(ks, 'h1'), 0) > 0 THEN vs[list_position(ks, 'h1')] END
+         AS h1,
+       CASE WHEN coalesce(list_position(ks, 'title'), 0) > 0
+            THEN vs[list_position(ks, 'title')] END AS title
+FROM s WHERE len(ks) > 0
 """,
     "union_missing_columns": """
 SELECT s_suppkey AS key, s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal,
