@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from matchforge.params import BLUE_TEAM, MS_PER_MINUTE, RED_TEAM, TEAM_SIZE
 
 __all__ = [
-    "col_of", "int_from_text", "ceil_minutes", "split_piece", "round_time",
+    "col_of", "int_from_text", "long_from_text", "ceil_minutes", "split_piece", "round_time",
     "position_in", "map_lookup_by_position", "win_loss", "encode_outcome",
     "label_word", "offset_ms_since_day", "day_key", "micros_since_epoch",
 ]
@@ -27,6 +27,13 @@ def int_from_text(c) -> Column:
     return col_of(c).try_cast("double").try_cast("int")
 
 
+def long_from_text(c) -> Column:
+    """Cast id text to a 64-bit integer: plain digits exactly, float-looking
+    text (``'12.0'``) truncated; bad text becomes null."""
+    x = col_of(c)
+    return F.coalesce(x.try_cast("long"), x.try_cast("double").try_cast("long"))
+
+
 def ceil_minutes(ms) -> Column:
     """Milliseconds to whole minutes, rounded up, as int."""
     return F.ceil(col_of(ms) / F.lit(MS_PER_MINUTE)).cast("int")

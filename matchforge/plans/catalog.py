@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchforge.functions.scalar import (ceil_minutes, day_key, encode_outcome, int_from_text,
-                                         map_lookup_by_position, micros_since_epoch,
-                                         position_in, split_piece)
+from matchforge.functions.scalar import (day_key, encode_outcome, int_from_text,
+                                         long_from_text, map_lookup_by_position,
+                                         micros_since_epoch, position_in, split_piece)
 from matchforge.operators import facts
 from matchforge.operators.aggregates import (first_wins, key_violations, latest,
                                              surrogate_key)
@@ -48,9 +48,11 @@ def performance_table(spark, sf_dir):
 
 
 def performance_union_agg(spark, sf_dir):
+    """The union-aggregate rewrite, chosen after its preconditions (unique,
+    non-null keys in every non-aggregated input) are checked."""
     r = _ref(spark, sf_dir)
-    return facts.performance_union(r["champion"], r["kd"], r["scores"], r["wards"],
-                                   r["outcomes"], V.VIEW_CUTOFFS)
+    return facts.performance(r["champion"], r["kd"], r["scores"], r["wards"],
+                             r["outcomes"], V.VIEW_CUTOFFS, strategy="auto")
 
 
 def performance_single_pass(spark, sf_dir):
@@ -75,8 +77,8 @@ def match_outcome(spark, sf_dir):
 
 
 def duration_minutes(spark, sf_dir):
-    info = _ref(spark, sf_dir)["match_info"]
-    return info.select("match_id", ceil_minutes("duration").alias("duration"))
+    from matchforge.operators.dims import match_dim
+    return match_dim(_ref(spark, sf_dir)["match_info"])
 
 
 # -- roster, links, casts, projections -----------------------------------------
@@ -121,7 +123,7 @@ def csv_all_string_cast(spark, sf_dir):
     write_csv(_t(spark, sf_dir, "lineitem").select(*cols), path)
     text = read_csv_text(spark, path, cols)
     typed = text.select(
-        int_from_text("l_orderkey").alias("l_orderkey"),
+        long_from_text("l_orderkey").alias("l_orderkey"),
         int_from_text("l_linenumber").alias("l_linenumber"),
         int_from_text("l_quantity").alias("quantity"),
         int_from_text("l_extendedprice").alias("price"),
@@ -181,7 +183,7 @@ def streamer_outer_join(spark, sf_dir):
         F.col("c_custkey").alias("DT_RowId"), F.col("c_name").alias("Name"),
         F.col("n_name").alias("Birthplace"))
     j = outer_join(part1, part2, ["DT_RowId"])
-    return j.select(F.col("DT_RowId").cast("int").alias("streamer_id"),
+    return j.select(F.col("DT_RowId").alias("streamer_id"),
                     F.col("plug").alias("streamer_name"), F.col("Name").alias("real_name"),
                     F.col("Birthplace").alias("birth_place"),
                     F.col("roleNum").cast("int").alias("role_id"))
@@ -196,7 +198,7 @@ def summoner_outer_join(spark, sf_dir):
     part2 = o.select(F.col("o_orderkey").alias("account_name"),
                      F.col("o_custkey").alias("streamer_id"))
     j = outer_join(part1, part2, ["account_name"])
-    return j.select("account_name", "line_count", F.col("streamer_id").cast("int"))
+    return j.select("account_name", "line_count", "streamer_id")
 
 
 def ml_features(spark, sf_dir):
@@ -324,7 +326,7 @@ def union_missing_columns(spark, sf_dir):
 def _champion_dim(spark, sf_dir):
     """A champion dimension derived from part (one row per part key)."""
     p = _t(spark, sf_dir, "part")
-    return p.select(F.col("p_partkey").cast("int").alias("champion_id"),
+    return p.select(F.col("p_partkey").alias("champion_id"),
                     F.col("p_name").alias("champion_name"),
                     F.col("p_size").alias("attack"),
                     F.floor(F.col("p_retailprice") / 100).cast("int").alias("defense"),
@@ -367,12 +369,12 @@ def star_batches(spark, sf_dir) -> dict:
                               F.col("r_name").alias("role_name")),
         "champion": _champion_dim(spark, sf_dir),
         "streamer": cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey).select(
-            F.col("c_custkey").cast("int").alias("streamer_id"),
+            F.col("c_custkey").alias("streamer_id"),
             F.col("c_name").alias("streamer_name"), F.col("c_name").alias("real_name"),
             F.col("n_name").alias("birth_country"), F.col("n_regionkey").alias("role_id")),
         "summoner": users.join(cust, users.user_id == cust.c_custkey, "left").select(
             F.col("user_id").cast("string").alias("puuid"), F.col("c_name").alias("account_name"),
-            F.col("c_custkey").cast("int").alias("streamer_id")),
+            F.col("c_custkey").alias("streamer_id")),
         "match": match_dim(V.long_matches(tl).select("match_id", "duration")),
         "outcome": outcome_dim(spark),
         "performance": performance_for_load(V.performance_single_pass(tl)),

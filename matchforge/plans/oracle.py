@@ -104,7 +104,7 @@ SELECT match_id, CAST(ceil(duration / 60000) AS INTEGER) AS duration FROM longm
     "roster_online": _ROSTER + " AND c_acctbal > 0",
     "split_link": "SELECT page_id, string_split(url, '/')[-2] AS link FROM pages",
     "csv_all_string_cast": """
-SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber,
+SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber,
        CAST(trunc(l_quantity) AS INTEGER) AS quantity,
        CAST(trunc(l_extendedprice) AS INTEGER) AS price, l_returnflag
 FROM lineitem WHERE CAST(trunc(l_quantity) AS INTEGER) < 25
@@ -135,7 +135,7 @@ WITH p1 AS (SELECT s_suppkey AS id, s_name AS plug, s_nationkey AS rolenum FROM
 p2 AS (SELECT c_custkey AS id, c_name AS name, n_name AS birthplace
        FROM customer JOIN nation ON c_nationkey = n_nationkey
        WHERE c_mktsegment = 'BUILDING')
-SELECT CAST(coalesce(p1.id, p2.id) AS INTEGER) AS streamer_id, p1.plug AS streamer_name,
+SELECT coalesce(p1.id, p2.id) AS streamer_id, p1.plug AS streamer_name,
        p2.name AS real_name, p2.birthplace AS birth_place, CAST(p1.rolenum AS INTEGER) AS role_id
 FROM p1 FULL OUTER JOIN p2 ON p1.id = p2.id
 """,
@@ -145,7 +145,7 @@ WITH p1 AS (SELECT l_orderkey AS account_name, count(*) AS line_count
 p2 AS (SELECT o_orderkey AS account_name, o_custkey AS streamer_id
        FROM orders WHERE o_orderstatus IN ('F', 'O'))
 SELECT coalesce(p1.account_name, p2.account_name) AS account_name, p1.line_count,
-       CAST(p2.streamer_id AS INTEGER) AS streamer_id
+       p2.streamer_id
 FROM p1 FULL OUTER JOIN p2 ON p1.account_name = p2.account_name
 """,
     "ml_features": """
@@ -217,7 +217,7 @@ SELECT page_id, lang, CAST(coalesce(list_position(parts, lang), 0) AS INTEGER) A
 FROM s
 """,
     "map_values_rows": """
-SELECT CAST(p_partkey AS INTEGER) AS champion_id, p_name AS champion_name, p_size AS attack,
+SELECT p_partkey AS champion_id, p_name AS champion_name, p_size AS attack,
        CAST(floor(p_retailprice / 100) AS INTEGER) AS defense,
        CAST(length(p_name) AS INTEGER) AS magic
 FROM part
@@ -257,7 +257,8 @@ SELECT event_id, user_id, event_type, value, props, epoch_us(ts) AS ts_us FROM e
 SELECT row_number() OVER (ORDER BY match_id, summoner_id, champion_id, kills, deaths, gold,
                                    minions, xp, wards, outcome_id) AS performance_id,
        match_id, summoner_id, champion_id, kills, deaths, gold, minions, xp, wards, outcome_id
-FROM (SELECT match_id, CAST(puuid AS VARCHAR) AS summoner_id, champion_id,
+FROM (SELECT match_id, CAST(puuid AS VARCHAR) AS summoner_id,
+             CAST(champion_id AS BIGINT) AS champion_id,
              no_kills AS kills, no_deaths AS deaths, gold_at_10 AS gold,
              minions_at_10 AS minions, xp_at_10 AS xp, ward_count AS wards, outcome_id
       FROM perf)
