@@ -1,9 +1,9 @@
 """Aggregations.
 
 Every per-key selection (first-wins, latest, first-at-or-after, last) is an
-aggregate (``min_by``/``max_by`` over a struct) rather than a window, so a hot
-key is reduced map-side before the shuffle instead of landing whole in one
-task.
+aggregate (``min``/``max`` of a struct led by the ordering columns) rather than
+a window, so a hot key is reduced map-side before the shuffle instead of
+landing whole in one task.
 """
 
 from __future__ import annotations
@@ -22,13 +22,12 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], largest: boo
           value_cols: Sequence[str] | None = None) -> DataFrame:
     keys = list(keys)
     values = [c for c in (value_cols or df.columns) if c not in keys]
-    # The ordering ends with every value column so ties resolve the same way
-    # on every run, whatever the input order.
-    tail = [c for c in values if c not in order]
-    ordering = F.struct(*[F.col(c) for c in list(order) + tail])
-    pick = F.max_by if largest else F.min_by
-    picked = df.groupBy(*keys).agg(
-        pick(F.struct(*[F.col(c) for c in values]), ordering).alias("_picked"))
+    # One struct, ordering columns first and then every other value column,
+    # so min/max compares by the order and resolves ties the same way on every
+    # run whatever the input order; the buffer holds a single copy of the row.
+    fields = list(dict.fromkeys(list(order) + values))
+    pick = F.max if largest else F.min
+    picked = df.groupBy(*keys).agg(pick(F.struct(*[F.col(c) for c in fields])).alias("_picked"))
     return picked.select(*keys, *[F.col("_picked")[c].alias(c) for c in values])
 
 
