@@ -86,7 +86,8 @@ def surrogate_key(df: DataFrame, order: Sequence[str], name: str = "serial_id",
     table with one row per partition (its size is bounded by the partition
     count, so broadcasting it is safe).
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    from matchforge.session import parallelism
+    n = partitions or parallelism(df.sparkSession)
     # Sort on ``order`` and then every other column: the order is total, so a
     # value shared by many rows (a hot date) still spreads over several range
     # partitions, and a recomputed partition numbers its rows the same way.

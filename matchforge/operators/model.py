@@ -129,7 +129,8 @@ def tune_and_fit(df: DataFrame, label: str = LABEL, seed: int = 0,
     # ``parallelism`` does) so small fits do not leave executors idle.
     jobs = [(c, f) for c in cands if c > 0 for f in range(folds)]
     if parallelism is None:
-        parallelism = min(len(jobs), df.sparkSession.sparkContext.defaultParallelism)
+        from matchforge.session import parallelism as cores
+        parallelism = min(len(jobs), cores(df.sparkSession))
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(fold_accuracy, jobs))
     scores: dict = {c: None for c in cands}          # C <= 0 stays null
