@@ -60,6 +60,12 @@ def performance_single_pass(spark, sf_dir):
     return V.performance_single_pass(tl, V.VIEW_CUTOFFS)
 
 
+def nested_event_counts(spark, sf_dir):
+    """The nested-timeline operators run over documents built in-row from
+    events; same counts as the flat view."""
+    return V.nested_event_counts(_t(spark, sf_dir, "events"))
+
+
 def kill_death_single_pass(spark, sf_dir):
     return facts.kills_deaths_single_pass(_ref(spark, sf_dir)["kd"], V.VIEW_CUTOFFS)
 
@@ -432,6 +438,7 @@ def queries() -> dict[str, Builder]:
         "performance_union_agg": performance_union_agg,
         "performance_single_pass": performance_single_pass,
         "kill_death_single_pass": kill_death_single_pass,
+        "nested_event_counts": nested_event_counts,
         "ward_counts": ward_counts,
         "roster_filter": roster_filter,
         "roster_online": roster_online,

@@ -184,3 +184,56 @@ def performance_single_pass(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
         encode_outcome(win_loss("winning_team", "pos")).alias("outcome_id"))
     out = out.withColumns({c: F.col(c).cast("int") for c in INT_COLS})
     return out.select(*PERFORMANCE_COLS).fillna(0, subset=INT_COLS)
+
+
+def timeline_documents(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
+    """Timeline-shaped documents built in-row, one per event (no grouping):
+
+      metadata.matchId      = the day
+      metadata.participants = ten slots, the player's id at their position and
+                              placeholder ids ('npc-<day>-<slot>') elsewhere
+      info.frames           = [the event's frame, a closing frame at the day's
+                              duration] (the duration comes from the per-day
+                              table, bounded by the date span, broadcast)
+
+    The documents have the landed timeline schema, so the nested operators
+    (flatten, attribution, ward and kill rows) run on them unchanged. Several
+    documents share a match, which composes for the event counts.
+    """
+    from matchforge import schemas as S
+    ev = attributed_events(tl, "event_id")
+    days = F.broadcast(match_stats(tl).select("match_id", "duration"))
+    ev = ev.join(days, ["match_id"], "inner")
+    slots = F.transform(F.sequence(F.lit(1), F.lit(10)), lambda i: F.when(
+        i == F.col("pos"), F.col("puuid").cast("string")).otherwise(
+        F.concat(F.lit("npc-"), F.col("match_id"), F.lit("-"), i.cast("string"))))
+    event = F.struct(F.col("type"), F.col("timestamp").cast("long").alias("timestamp"),
+                     F.col("wardType"), F.col("creatorId"), F.col("killerId"),
+                     F.col("victimId"), F.lit(None).cast("int").alias("winningTeam"))
+    pf_type = S.TIMELINE_FRAME["participantFrames"].dataType.simpleString()
+    ev_type = S.TIMELINE_FRAME["events"].dataType.simpleString()
+    no_frames = F.lit(None).cast(pf_type)
+    frames = F.array(
+        F.struct(F.col("timestamp").cast("long").alias("timestamp"),
+                 F.array(event).cast(ev_type).alias("events"),
+                 no_frames.alias("participantFrames")),
+        F.struct(F.col("duration").cast("long").alias("timestamp"),
+                 F.array().cast(ev_type).alias("events"),
+                 no_frames.alias("participantFrames")))
+    return ev.select(
+        F.struct(F.col("match_id").alias("matchId"), slots.alias("participants"))
+        .alias("metadata"),
+        F.struct(F.lit(420).alias("queueId"), frames.alias("frames")).alias("info"))
+
+
+def nested_event_counts(events: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
+    """Kills, deaths and wards per (match, player) computed by the nested
+    operators on ``timeline_documents``: match_id, puuid (string),
+    no_kills, no_deaths, ward_count, for pairs with any positive count."""
+    from matchforge.operators.flatten import attributed_events as nested_events
+    from matchforge.operators.flatten import event_counts
+    tl = timeline_view(events)
+    docs = timeline_documents(tl, cutoffs)
+    players = events.select(F.col("user_id").cast("string").alias("puuid")).distinct()
+    counts = event_counts(nested_events(docs, players, cutoffs), cutoffs)
+    return counts.filter((F.col("no_kills") + F.col("no_deaths") + F.col("ward_count")) > 0)

@@ -95,6 +95,15 @@ FROM t WHERE event_type IN ('purchase', 'error') AND off < 36006000
 GROUP BY match_id, puuid
 """,
     "ward_counts": "WITH " + _TL + "SELECT * FROM wards",
+    "nested_event_counts": "WITH " + _TL + """,
+k AS (SELECT match_id, puuid FROM kills UNION SELECT match_id, puuid FROM deaths
+      UNION SELECT match_id, puuid FROM wards)
+SELECT k.match_id, CAST(k.puuid AS VARCHAR) AS puuid,
+       coalesce(ki.no_kills, 0) AS no_kills, coalesce(d.no_deaths, 0) AS no_deaths,
+       coalesce(w.ward_count, 0) AS ward_count
+FROM k LEFT JOIN kills ki USING (match_id, puuid) LEFT JOIN deaths d USING (match_id, puuid)
+LEFT JOIN wards w USING (match_id, puuid)
+""",
     "snapshot_at_cutoff": "WITH " + _TL + "SELECT * FROM scores",
     "match_outcome": "WITH " + _TL + "SELECT * FROM outcomes",
     "duration_minutes": "WITH " + _TL + """
