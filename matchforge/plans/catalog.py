@@ -66,6 +66,14 @@ def nested_event_counts(spark, sf_dir):
     return V.nested_event_counts(_t(spark, sf_dir, "events"))
 
 
+def nested_match_outcome(spark, sf_dir):
+    return V.nested_match_outcome(_t(spark, sf_dir, "events"))
+
+
+def nested_chosen_champion(spark, sf_dir):
+    return V.nested_chosen_champion(_t(spark, sf_dir, "events"))
+
+
 def kill_death_single_pass(spark, sf_dir):
     return facts.kills_deaths_single_pass(_ref(spark, sf_dir)["kd"], V.VIEW_CUTOFFS)
 
@@ -439,6 +447,8 @@ def queries() -> dict[str, Builder]:
         "performance_single_pass": performance_single_pass,
         "kill_death_single_pass": kill_death_single_pass,
         "nested_event_counts": nested_event_counts,
+        "nested_match_outcome": nested_match_outcome,
+        "nested_chosen_champion": nested_chosen_champion,
         "ward_counts": ward_counts,
         "roster_filter": roster_filter,
         "roster_online": roster_online,

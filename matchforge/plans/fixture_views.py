@@ -193,8 +193,9 @@ def timeline_documents(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
       metadata.participants = ten slots, the player's id at their position and
                               placeholder ids ('npc-<day>-<slot>') elsewhere
       info.frames           = [the event's frame, a closing frame at the day's
-                              duration] (the duration comes from the per-day
-                              table, bounded by the date span, broadcast)
+                              duration holding a GAME_END event with the day's
+                              winning team] (both from the per-day table,
+                              bounded by the date span, broadcast)
 
     The documents have the landed timeline schema, so the nested operators
     (flatten, attribution, ward and kill rows) run on them unchanged. Several
@@ -202,7 +203,7 @@ def timeline_documents(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
     """
     from matchforge import schemas as S
     ev = attributed_events(tl, "event_id")
-    days = F.broadcast(match_stats(tl).select("match_id", "duration"))
+    days = F.broadcast(match_stats(tl).select("match_id", "duration", "winning_team"))
     ev = ev.join(days, ["match_id"], "inner")
     slots = F.transform(F.sequence(F.lit(1), F.lit(10)), lambda i: F.when(
         i == F.col("pos"), F.col("puuid").cast("string")).otherwise(
@@ -218,7 +219,15 @@ def timeline_documents(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
                  F.array(event).cast(ev_type).alias("events"),
                  no_frames.alias("participantFrames")),
         F.struct(F.col("duration").cast("long").alias("timestamp"),
-                 F.array().cast(ev_type).alias("events"),
+                 F.array(F.struct(
+                     F.lit("GAME_END").alias("type"),
+                     F.col("duration").cast("long").alias("timestamp"),
+                     F.lit(None).cast("string").alias("wardType"),
+                     F.lit(None).cast("int").alias("creatorId"),
+                     F.lit(None).cast("int").alias("killerId"),
+                     F.lit(None).cast("int").alias("victimId"),
+                     F.col("winning_team").cast("int").alias("winningTeam"))).cast(ev_type)
+                 .alias("events"),
                  no_frames.alias("participantFrames")))
     return ev.select(
         F.struct(F.col("match_id").alias("matchId"), slots.alias("participants"))
@@ -237,3 +246,38 @@ def nested_event_counts(events: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
     players = events.select(F.col("user_id").cast("string").alias("puuid")).distinct()
     counts = event_counts(nested_events(docs, players, cutoffs), cutoffs)
     return counts.filter((F.col("no_kills") + F.col("no_deaths") + F.col("ward_count")) > 0)
+
+
+def detail_documents(tl: DataFrame) -> DataFrame:
+    """Match-detail documents built in-row, one per (match, player) row of the
+    chosen-champion table: match_id, info.participants = [{puuid, championId}]."""
+    champs = champion_rows(tl)
+    return champs.select(
+        "match_id",
+        F.struct(F.array(F.struct(F.col("puuid").cast("string").alias("puuid"),
+                                  F.col("champion_id").alias("championId")))
+                 .alias("participants")).alias("info"))
+
+
+def _docs_and_players(events: DataFrame, cutoffs=VIEW_CUTOFFS):
+    tl = timeline_view(events)
+    players = events.select(F.col("user_id").cast("string").alias("puuid")).distinct()
+    return tl, timeline_documents(tl, cutoffs), players
+
+
+def nested_match_outcome(events: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
+    """(match_id, puuid, outcome) by the nested operators: the last event of
+    each document's last frame gives the winning team. Every document of a
+    match carries the same one, so the rows are made distinct."""
+    from matchforge.operators.flatten import outcome_rows as nested_outcomes
+    _, docs, players = _docs_and_players(events, cutoffs)
+    return nested_outcomes(docs, players, cutoffs).distinct()
+
+
+def nested_chosen_champion(events: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
+    """(match_id, puuid, champion_id) by the nested operators: the tracked
+    players of the timeline documents looked up in the match details."""
+    from matchforge.operators.flatten import chosen_champion, tracked_participants
+    tl, docs, players = _docs_and_players(events, cutoffs)
+    tracked = tracked_participants(docs, players, cutoffs)
+    return chosen_champion(in_long_matches(detail_documents(tl), tl, cutoffs), tracked)

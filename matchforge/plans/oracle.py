@@ -95,6 +95,12 @@ FROM t WHERE event_type IN ('purchase', 'error') AND off < 36006000
 GROUP BY match_id, puuid
 """,
     "ward_counts": "WITH " + _TL + "SELECT * FROM wards",
+    "nested_match_outcome": "WITH " + _TL + """
+SELECT match_id, CAST(puuid AS VARCHAR) AS puuid, outcome FROM outcomes
+""",
+    "nested_chosen_champion": "WITH " + _TL + """
+SELECT match_id, CAST(puuid AS VARCHAR) AS puuid, champion_id FROM champ
+""",
     "nested_event_counts": "WITH " + _TL + """,
 k AS (SELECT match_id, puuid FROM kills UNION SELECT match_id, puuid FROM deaths
       UNION SELECT match_id, puuid FROM wards)
