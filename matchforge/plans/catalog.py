@@ -348,10 +348,11 @@ def _champion_dim(spark, sf_dir):
 
 
 def model_score(spark, sf_dir, seed: int = 7):
-    """Performance ⟕ champion -> seeded 3-fold search over C -> refit ->
-    predicted outcome word for every (match, player). Rows-only check."""
-    from matchforge.operators.load import stage
-    from matchforge.operators.model import score, tune_and_fit
+    """Performance ⟕ champion -> seeded 3-fold search over C -> refit -> model
+    saved to and loaded from the shared folder -> every (match, player) sent
+    as a JSON request record -> predicted outcome word. Rows-only check."""
+    from matchforge.operators.load import load_model, save_model, stage
+    from matchforge.operators.model import feature_columns, parse_requests, score, tune_and_fit
     perf = performance_single_pass(spark, sf_dir).select(
         "match_id", "puuid", "champion_id", F.col("no_kills").alias("kills"),
         F.col("no_deaths").alias("deaths"), F.col("gold_at_10").alias("gold"),
@@ -361,7 +362,14 @@ def model_score(spark, sf_dir, seed: int = 7):
     # The feature table of the source: ids and names dropped, label kept.
     training = table.drop("champion_id", "match_id", "puuid", "champion_name")
     result = tune_and_fit(training, seed=seed)
-    return score(result.model, table, keep=["match_id", "puuid", "outcome_id"])
+    path = scratch_path(spark, "model")
+    save_model(result.model, path)
+    model = load_model(path)
+    features = feature_columns(training)
+    requests = table.select("match_id", "puuid", "outcome_id",
+                            F.to_json(F.struct(*features)).alias("request"))
+    rows = parse_requests(requests, "request", features)
+    return score(model, rows, keep=["match_id", "puuid", "outcome_id"])
 
 
 # -- star schema load ---------------------------------------------------------------
