@@ -41,6 +41,7 @@ from matchforge.functions.scalar import label_word
 from matchforge.operators.joins import left_enrich
 from matchforge.params import MAX_ITER, TUNE_C_GRID, TUNE_CANDIDATES, TUNE_FOLDS
 
+ROWS_PER_PARTITION = 1_000_000
 FEATURE_DROP = ["champion_id", "performance_id", "match_id", "summoner_id", "champion_name"]
 LABEL = "outcome_id"
 
@@ -79,6 +80,10 @@ def fit(df: DataFrame, c_value: float, label: str = LABEL,
         raise ValueError("C must be positive")
     features = list(features or feature_columns(df, label))
     scaler, n = population_scaler(df, features)
+    # Partitions sized from the row count (about a million rows each): every
+    # optimiser iteration is a job over them, so tiny partitions cost a task
+    # each for nothing, and large inputs keep their parallelism.
+    df = df.coalesce(max(1, -(-n // ROWS_PER_PARTITION)))
     assembler = VectorAssembler(inputCols=[f"{c}_z" for c in features], outputCol="features",
                                 handleInvalid="keep")
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
