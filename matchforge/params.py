@@ -9,6 +9,7 @@ Fixed values (do not change):
   RED_TEAM          = 200      winning-team code of positions 6..10
   TEAM_SIZE         = 5
   RANKED_SOLO_QUEUE = 420
+  HOME_REGION       = 'Europe'   roster: home and current region
   BASIC_ROLES       = 1, 2, 3, 4, 5
   OUTCOME_DIM       = (0, 'loss'), (1, 'win')
   TUNE_C_GRID       = 0.0, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5
@@ -25,6 +26,7 @@ BLUE_TEAM = 100
 RED_TEAM = 200
 TEAM_SIZE = 5
 RANKED_SOLO_QUEUE = 420
+HOME_REGION = "Europe"
 BASIC_ROLES = (1, 2, 3, 4, 5)
 OUTCOME_DIM = ((0, "loss"), (1, "win"))
 TUNE_C_GRID = tuple(x / 2 for x in range(10))
