@@ -1,5 +1,4 @@
 import numpy as np
-from pyspark.sql import functions as F
 
 from matchforge.operators.model import fit, sample_candidates, score, tune_and_fit
 
