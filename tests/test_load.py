@@ -96,3 +96,14 @@ def test_star_load_idempotent_and_validated(spark):
         load_star(spark, db, bad)
     spark.catalog.refreshTable(f"{db}.match")
     assert spark.table(f"{db}.match").count() == 1
+
+
+def test_fk_levels_put_parents_first():
+    from matchforge import schemas as S
+    from matchforge.operators.load import fk_levels
+    levels = fk_levels()
+    where = {t: i for i, level in enumerate(levels) for t in level}
+    assert sorted(where) == sorted(S.STAR_LOAD_ORDER)
+    for child, spec in S.STAR_KEYS.items():
+        for parent, _ in spec.get("fk", {}).values():
+            assert where[parent] < where[child]
