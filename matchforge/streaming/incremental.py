@@ -65,3 +65,38 @@ def start_scoring_stream(spark: SparkSession, model, requests: str, features: Se
     scored = score(model, rows, keep=list(keep) + list(features))
     return (scored.writeStream.format("parquet").option("path", output)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def start_hourly_star_load(spark: SparkSession, timelines_landing: str, details: DataFrame,
+                           players: DataFrame, db: str, checkpoint: str,
+                           max_files_per_trigger: int | None = None,
+                           available_now: bool = True) -> StreamingQuery:
+    """New timeline documents landing in a folder -> match and performance
+    rows -> validated append to the star schema, one micro-batch at a time.
+
+    The dimensions (summoners, champions, outcomes...) are loaded by the batch
+    job; each micro-batch adds the matches and performances of its documents.
+    A replayed micro-batch appends nothing twice (the star load skips keys
+    already present), and a batch whose rows break a key is rejected whole.
+    """
+    from matchforge import schemas as S
+    from matchforge.operators.dims import match_dim, performance_for_load
+    from matchforge.operators.flatten import match_info, performance_from_timelines
+    from matchforge.operators.load import load_star
+
+    reader = spark.readStream.schema(S.TIMELINE).format("json")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    docs = reader.load(timelines_landing)
+
+    def load_batch(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
+        perf = performance_from_timelines(batch, details, players)
+        load_star(session, db, {
+            "match": match_dim(match_info(batch, players)),
+            "performance": performance_for_load(perf),
+        })
+
+    writer = docs.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()
