@@ -44,20 +44,25 @@ def extract(spark: SparkSession, landed: Landed, mode: str = "all",
     pages = D.read_json(spark, landed.profiles, D.S.PROFILE_PAGE)
     profiles = D.profiles(pages.join(roster.select("DT_RowId"), ["DT_RowId"], "left_semi"),
                           list(profile_keys))
+    # Feeds, timelines and details are parsed once into the shared folder;
+    # records that do not parse go to a rejects table instead of vanishing.
+    feeds, feed_rejects = D.read_json_with_rejects(spark, landed.feeds, D.S.MATCH_FEED)
     accounts = D.latest_accounts(
-        D.read_feeds(spark, landed.feeds).join(roster.select("DT_RowId"), ["DT_RowId"],
-                                               "left_semi"))
+        feeds.join(roster.select("DT_RowId"), ["DT_RowId"], "left_semi"))
     accounts = in_region(accounts, region)
     summoners = D.summoners(D.read_summoners(spark, landed.summoners), accounts)
     players = summoners.select("puuid").filter(F.col("puuid").isNotNull())
-    timelines = D.read_timelines(spark, landed.timelines)
+    timelines, timeline_rejects = D.read_json_with_rejects(spark, landed.timelines, D.S.TIMELINE)
     if ranked_only:
         timelines = ranked_solo(timelines, "info.queueId")
-    details = D.read_match_details(spark, landed.details)
+    details, detail_rejects = D.read_json_with_rejects(spark, landed.details, D.S.MATCH_DETAIL)
+    rejects = (feed_rejects.select(F.lit("feeds").alias("source"), "raw")
+               .unionByName(timeline_rejects.select(F.lit("timelines").alias("source"), "raw"))
+               .unionByName(detail_rejects.select(F.lit("details").alias("source"), "raw")))
     out = extract_tables(timelines, details, players)
     out.update(roster=roster, profiles=profiles, accounts=accounts, summoners=summoners,
                champions=D.champion_rows(D.read_champion_catalog(spark, landed.champions)),
-               timelines=timelines, details=details, players=players)
+               timelines=timelines, details=details, players=players, rejects=rejects)
     return out
 
 

@@ -29,6 +29,8 @@ def _land(workdir):
     other["metadata"]["matchId"] = "N1"
     other["info"]["queueId"] = 400
     timelines = G.write_lines(f"{workdir}/timelines.json", G.TIMELINES + [other])
+    with open(timelines, "a") as f:
+        f.write('{"metadata": {"matchId": "BROKEN", \n')      # a truncated record
     details = G.write_lines(f"{workdir}/details.json", G.DETAILS)
     champions = dump("catalog", {"data": {
         "X": {"key": "11", "name": "Eleven", "info": {"attack": 1, "defense": 2, "magic": 3}},
@@ -40,6 +42,7 @@ def _land(workdir):
 def test_extract_transform_load_twice(spark, workdir):
     landed = _land(workdir)
     ex = B.extract(spark, landed)
+    assert [r.source for r in ex["rejects"].collect()] == ["timelines"]
     tables = B.transform(spark, ex)
     perf = {(r.match_id, r.summoner_id, r.kills, r.deaths, r.wards, r.outcome_id)
             for r in tables["performance"].collect()}
