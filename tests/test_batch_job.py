@@ -114,3 +114,27 @@ def test_hourly_star_stream(spark, workdir):
     perf = spark.table(f"{db}.performance").collect()
     assert sorted(r.performance_id for r in perf) == [1, 2, 3, 4]
     assert {r.champion_id for r in perf if r.match_id == "M5"} == {0}
+
+
+def test_hourly_star_stream_sees_its_own_earlier_batches(spark, workdir):
+    """Two files, one micro-batch each, in one run: the second repeats the
+    first; the second batch must see the first batch's appends."""
+    import os
+
+    from matchforge.streaming.incremental import start_hourly_star_load
+    landed = _land(workdir)
+    ex = B.extract(spark, landed)
+    tables = B.transform(spark, ex)
+    db = "mf_stream_star2"
+    B.load(spark, {k: v for k, v in tables.items() if k not in ("match", "performance")}, db,
+           location=f"{workdir}/sdb2")
+    landing = f"{workdir}/tl2"
+    os.makedirs(landing)
+    G.write_lines(f"{landing}/a.json", [G.M1])
+    G.write_lines(f"{landing}/b.json", [G.M1])
+    q = start_hourly_star_load(spark, landing, ex["details"], ex["players"], db,
+                               f"{workdir}/ck2", max_files_per_trigger=1)
+    q.awaitTermination()
+    assert len(q.recentProgress) >= 2
+    spark.catalog.refreshTable(f"{db}.performance")
+    assert spark.table(f"{db}.performance").count() == 2
