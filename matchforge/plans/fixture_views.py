@@ -129,7 +129,11 @@ def outcome_rows(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
 def reference_tables(spark: SparkSession, sf_dir: str, cutoffs=VIEW_CUTOFFS) -> dict:
     """The six per-player tables of the source pipeline, derived from events
     and restricted to long-enough matches."""
-    tl = timeline_view(table(spark, sf_dir, "events"))
+    return reference_tables_from(table(spark, sf_dir, "events"), cutoffs)
+
+
+def reference_tables_from(events: DataFrame, cutoffs=VIEW_CUTOFFS) -> dict:
+    tl = timeline_view(events)
     ev = attributed_events(tl)
     from matchforge.operators.flatten import kill_rows, ward_rows
     return {

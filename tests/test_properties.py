@@ -1,6 +1,8 @@
 """Properties over generated inputs (hypothesis): first-wins ignores input
 order, append twice = once, chain = union-aggregate, counts add up."""
 
+import os
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -8,7 +10,7 @@ from matchforge.operators import facts
 from matchforge.operators.aggregates import first_wins
 from matchforge.operators.load import new_rows
 
-SETTINGS = settings(max_examples=8, deadline=None,
+SETTINGS = settings(max_examples=int(os.environ.get("MF_EXAMPLES", "8")), deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 rows_st = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.sampled_from("abc")),
@@ -69,3 +71,38 @@ def test_chain_equals_union_and_counts_add_up(spark, kd, champs):
     early = [r for r in kd if r[5] < 600100]
     assert sum(r[3] for r in chain) == sum(1 for r in early if r[2] == r[3])
     assert sum(r[4] for r in chain) == sum(1 for r in early if r[2] == r[4])
+
+
+def _events(spark, rows):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    data = [(i, base + dt.timedelta(days=d, milliseconds=ms), u, et, float(v), f'{{"k": {k}}}')
+            for i, (d, ms, u, et, v, k) in enumerate(rows)]
+    return spark.createDataFrame(
+        data, "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, "
+              "value DOUBLE, props STRING")
+
+
+event_st = st.lists(st.tuples(
+    st.integers(0, 2),                                              # day
+    st.sampled_from([0, 35_999_999, 36_000_000, 36_005_999, 36_006_000, 50_000_000,
+                     86_399_999]),                                  # ms since midnight
+    st.integers(0, 12),                                             # user
+    st.sampled_from(["click", "view", "purchase", "error", "signup"]),
+    st.integers(0, 40), st.integers(0, 99)), min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(rows=event_st)
+def test_three_performance_plans_agree_on_generated_events(spark, rows):
+    from matchforge.plans import fixture_views as V
+    ev = _events(spark, rows)
+    r = V.reference_tables_from(ev)
+    args = (r["champion"], r["kd"], r["scores"], r["wards"], r["outcomes"], V.VIEW_CUTOFFS)
+    chain = sorted(tuple(x) for x in facts.performance_chain(*args).collect())
+    union = sorted(tuple(x) for x in facts.performance_union(*args).collect())
+    single = sorted(tuple(x) for x in V.performance_single_pass(V.timeline_view(ev)).collect())
+    assert chain == union == single
+    long_days = {d for d, ms, *_ in rows if ms >= 36_000_000 and
+                 max(m for dd, m, *_ in rows if dd == d) >= 36_000_000}
+    assert {m for m, *_ in chain} <= {f"2024-01-0{d + 1}" for d in long_days}
