@@ -106,3 +106,22 @@ def test_three_performance_plans_agree_on_generated_events(spark, rows):
     long_days = {d for d, ms, *_ in rows if ms >= 36_000_000 and
                  max(m for dd, m, *_ in rows if dd == d) >= 36_000_000}
     assert {m for m, *_ in chain} <= {f"2024-01-0{d + 1}" for d in long_days}
+
+
+@SETTINGS
+@given(rows=event_st)
+def test_nested_documents_count_like_the_flat_view(spark, rows):
+    from pyspark.sql import functions as F
+
+    from matchforge.plans import fixture_views as V
+    ev = _events(spark, rows)
+    r = V.reference_tables_from(ev)
+    kd = facts.kills_deaths_single_pass(r["kd"], V.VIEW_CUTOFFS)
+    wards = facts.ward_counts(r["wards"], V.VIEW_CUTOFFS)
+    flat = kd.join(wards, ["match_id", "puuid"], "full").fillna(0).filter(
+        (F.col("no_kills") + F.col("no_deaths") + F.col("ward_count")) > 0)
+    want = sorted((m, str(p), k, d, w) for m, p, k, d, w in
+                  flat.select("match_id", "puuid", "no_kills", "no_deaths", "ward_count").collect())
+    got = sorted(tuple(x) for x in V.nested_event_counts(ev).select(
+        "match_id", "puuid", "no_kills", "no_deaths", "ward_count").collect())
+    assert got == want
