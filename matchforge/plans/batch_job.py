@@ -92,3 +92,44 @@ def train(spark: SparkSession, db: str, feature_path: str, model_path: str, seed
     result = tune_and_fit(spark.read.parquet(feature_path), seed=seed)
     save_model(result.model, model_path)
     return result
+
+
+def run(spark: SparkSession, landed: Landed, db: str, location: str | None = None,
+        mode: str = "all", model_dir: str | None = None, seed: int = 0) -> dict:
+    """One hourly run: extract, transform, load; then train when ``model_dir``
+    is given. Returns the rows appended per table (and the tuning result)."""
+    ex = extract(spark, landed, mode)
+    appended = load(spark, transform(spark, ex), db, location)
+    out = {"appended": appended, "rejects": ex["rejects"].count()}
+    if model_dir:
+        result = train(spark, db, f"{model_dir.rstrip('/')}/features.parquet",
+                       f"{model_dir.rstrip('/')}/model", seed)
+        out["best_c"], out["cv_accuracy"] = result.best_c, result.best_score
+    return out
+
+
+def main(argv=None) -> dict:
+    """``python -m matchforge.plans.batch_job --roster ... --db ...``"""
+    import argparse
+    import json
+
+    p = argparse.ArgumentParser(description="hourly match-telemetry load")
+    for name in ("roster", "profiles", "feeds", "summoners", "timelines", "details",
+                 "champions"):
+        p.add_argument(f"--{name}", required=True, help=f"landed {name} (JSON)")
+    p.add_argument("--db", required=True)
+    p.add_argument("--location", default=None, help="database folder (shared storage)")
+    p.add_argument("--mode", default="all", choices=["all", "online"])
+    p.add_argument("--model-dir", default=None)
+    p.add_argument("--seed", type=int, default=0)
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("matchforge-hourly").getOrCreate()
+    landed = Landed(a.roster, a.profiles, a.feeds, a.summoners, a.timelines, a.details,
+                    a.champions)
+    out = run(spark, landed, a.db, a.location, a.mode, a.model_dir, a.seed)
+    print(json.dumps(out, default=str))
+    return out
+
+
+if __name__ == "__main__":
+    main()

@@ -138,3 +138,14 @@ def test_hourly_star_stream_sees_its_own_earlier_batches(spark, workdir):
     assert len(q.recentProgress) >= 2
     spark.catalog.refreshTable(f"{db}.performance")
     assert spark.table(f"{db}.performance").count() == 2
+
+
+def test_command_line_run(spark, workdir):
+    landed = _land(workdir)
+    args = []
+    for name in ("roster", "profiles", "feeds", "summoners", "timelines", "details", "champions"):
+        args += [f"--{name}", getattr(landed, name)]
+    out = B.main(args + ["--db", "mf_cli_test", "--location", f"{workdir}/clidb"])
+    assert out["appended"]["performance"] == 2 and out["rejects"] == 1
+    again = B.main(args + ["--db", "mf_cli_test"])
+    assert all(n == 0 for n in again["appended"].values())
