@@ -13,6 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
+
+
+def row_width_estimate(df: DataFrame) -> int:
+    """Rough bytes per row from the schema: 8 per fixed-width value, 32 per
+    string, 128 per nested value (arrays, maps, structs)."""
+    from pyspark.sql import types as T
+
+    def width(dt) -> int:
+        if isinstance(dt, (T.StringType, T.BinaryType)):
+            return 32
+        if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+            return 128
+        return 8
+    return max(8, sum(width(f.dataType) for f in df.schema.fields))
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -21,9 +36,12 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if its row count is proven to be small."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only if its row count is proven to be small;
+    the row budget shrinks with the estimated row width (``max_bytes``)."""
+    budget = max(1, min(max_rows, max_bytes // row_width_estimate(df)))
+    return F.broadcast(df) if row_count_at_most(df, budget) else df
 
 
 def outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -71,3 +71,12 @@ def test_sinks_and_sources(spark, workdir):
     spark.sql("CREATE DATABASE IF NOT EXISTS mf_src_test")
     df.write.mode("overwrite").saveAsTable("mf_src_test.t")
     assert read_table(spark, "mf_src_test", "t").columns == ["id", "v"]
+
+
+def test_broadcast_budget_shrinks_with_width(spark):
+    from matchforge.operators.joins import row_width_estimate
+    narrow = spark.createDataFrame([(1,)], "k INT")
+    wide = spark.createDataFrame([(1, "a", [1])], "k INT, s STRING, a ARRAY<INT>")
+    assert row_width_estimate(narrow) == 8 and row_width_estimate(wide) == 8 + 32 + 128
+    plan = sized_broadcast(wide, max_rows=10, max_bytes=100)       # budget 0 -> 1 row
+    assert plan.count() == 1
