@@ -56,3 +56,26 @@ def test_saved_model_scores_the_same(spark, workdir):
     a = [r.prediction for r in score(model, df).collect()]
     b = [r.prediction for r in score(again, df).collect()]
     assert a == b
+
+
+def test_score_job_batch_and_stream(spark, workdir):
+    import json
+    import os
+
+    from matchforge.operators.load import save_model
+    from matchforge.plans import score_job
+    _, _, df = _data(spark, n=120)
+    model = fit(df, 1.0)
+    save_model(model, f"{workdir}/m")
+    assert score_job.model_features(model) == ["a", "b", "c", "const"]
+    os.makedirs(f"{workdir}/req")
+    with open(f"{workdir}/req/r.json", "w") as f:
+        for a in (0.0, 2.0, -2.0):
+            f.write(json.dumps({"a": a, "b": 10.0, "c": -2.0, "const": 7}) + "\n")
+    score_job.main(["--model", f"{workdir}/m", "--requests", f"{workdir}/req",
+                    "--out", f"{workdir}/out"])
+    got = spark.read.parquet(f"{workdir}/out").collect()
+    assert len(got) == 3 and {r.predicted for r in got} <= {"win", "loss"}
+    score_job.main(["--model", f"{workdir}/m", "--requests", f"{workdir}/req",
+                    "--out", f"{workdir}/out_s", "--stream", "--checkpoint", f"{workdir}/ck"])
+    assert spark.read.parquet(f"{workdir}/out_s").count() == 3
