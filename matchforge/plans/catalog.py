@@ -156,7 +156,8 @@ def select_rename_drop(spark, sf_dir):
 
 # -- outcome dimension and encoding --------------------------------------------
 
-def _status_as_outcome(o):
+def _status_as_outcome():
+    """Order status as a match result: finished -> 'win', open -> 'loss'."""
     return (F.when(F.col("o_orderstatus") == "F", "win")
             .when(F.col("o_orderstatus") == "O", "loss")
             .otherwise(F.col("o_orderstatus")))
@@ -164,7 +165,7 @@ def _status_as_outcome(o):
 
 def outcome_encode(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
-    return o.select("o_orderkey", encode_outcome(_status_as_outcome(o)).alias("outcome_id"))
+    return o.select("o_orderkey", encode_outcome(_status_as_outcome()).alias("outcome_id"))
 
 
 def literal_outcome_dim(spark, sf_dir):
