@@ -42,6 +42,8 @@ from matchforge.operators.joins import left_enrich
 from matchforge.params import MAX_ITER, TUNE_C_GRID, TUNE_CANDIDATES, TUNE_FOLDS
 
 ROWS_PER_PARTITION = 1_000_000
+LARGE_TRAINING_ROWS = 10_000_000     # above this, at most LARGE_TRAINING_FITS fits at once
+LARGE_TRAINING_FITS = 3
 FEATURE_DROP = ["champion_id", "performance_id", "match_id", "summoner_id", "champion_name"]
 LABEL = "outcome_id"
 
@@ -134,8 +136,13 @@ def tune_and_fit(df: DataFrame, label: str = LABEL, seed: int = 0,
     # ``parallelism`` does) so small fits do not leave executors idle.
     jobs = [(c, f) for c in cands if c > 0 for f in range(folds)]
     if parallelism is None:
+        # Every running fit caches its own training fold; small tables run all
+        # fits at once, large ones a few at a time so caches stay bounded.
         from matchforge.session import parallelism as cores
-        parallelism = min(len(jobs), cores(df.sparkSession))
+        if df.count() <= LARGE_TRAINING_ROWS:
+            parallelism = min(len(jobs), cores(df.sparkSession))
+        else:
+            parallelism = min(len(jobs), LARGE_TRAINING_FITS)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(fold_accuracy, jobs))
     scores: dict = {c: None for c in cands}          # C <= 0 stays null
