@@ -107,3 +107,14 @@ def test_fk_levels_put_parents_first():
     for child, spec in S.STAR_KEYS.items():
         for parent, _ in spec.get("fk", {}).values():
             assert where[parent] < where[child]
+
+
+def test_null_summoner_key_aborts_before_any_append(spark):
+    db = "mf_star_null_key"
+    batches = _star_batches(spark)
+    batches["summoner"] = spark.createDataFrame([("A2", "acc1", 1), (None, "lost", 1)],
+                                                "puuid STRING, account_name STRING, "
+                                                "streamer_id INT")
+    with pytest.raises(LoadError, match="summoner: null"):
+        load_star(spark, db, batches)
+    assert spark.table(f"{db}.country").count() == 0
