@@ -39,3 +39,16 @@ def test_counts_never_exceed_events(spark):
     tot = perf.groupBy().sum("no_kills", "no_deaths").first()
     tot_kd = kd.groupBy().sum("no_kills", "no_deaths").first()
     assert tuple(tot) == tuple(tot_kd)
+
+
+def test_no_registered_query_runs_python_per_row(spark):
+    """Every lazy catalogue plan stays JVM-side: no Python UDF or pandas
+    evaluation node (builders that write first are checked through tests of
+    their operators)."""
+    import __spark_entry__ as E
+    eager = {"csv_all_string_cast", "append_if_absent", "incremental_load", "star_load",
+             "model_score"}
+    for name, build in E.queries().items():
+        if name in eager:
+            continue
+        assert plan_summary(build(spark, SF_SMALL))["python_evals"] == 0, name
