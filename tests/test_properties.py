@@ -125,3 +125,16 @@ def test_nested_documents_count_like_the_flat_view(spark, rows):
     got = sorted(tuple(x) for x in V.nested_event_counts(ev).select(
         "match_id", "puuid", "no_kills", "no_deaths", "ward_count").collect())
     assert got == want
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 1000)), min_size=1,
+                     max_size=60, unique=True),
+       parts=st.integers(1, 6), start=st.integers(0, 50))
+def test_surrogate_keys_dense_and_ordered(spark, rows, parts, start):
+    from matchforge.operators.aggregates import surrogate_key
+    df = spark.createDataFrame(rows, "d INT, k INT").repartition(3)
+    out = sorted((r.sid, r.d, r.k) for r in
+                 surrogate_key(df, ["d"], "sid", start=start, partitions=parts).collect())
+    assert [s for s, _, _ in out] == list(range(start + 1, start + len(rows) + 1))
+    assert [(d, k) for _, d, k in out] == sorted(rows)     # order by d, then the rest
