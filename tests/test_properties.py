@@ -138,3 +138,19 @@ def test_surrogate_keys_dense_and_ordered(spark, rows, parts, start):
                  surrogate_key(df, ["d"], "sid", start=start, partitions=parts).collect())
     assert [s for s, _, _ in out] == list(range(start + 1, start + len(rows) + 1))
     assert [(d, k) for _, d, k in out] == sorted(rows)     # order by d, then the rest
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 4), st.integers(0, 6), st.integers(0, 9)),
+                     min_size=1, max_size=40))
+def test_latest_and_key_violations_match_brute_force(spark, rows):
+    from matchforge.operators.aggregates import key_violations, latest
+    df = spark.createDataFrame(rows, "c INT, d INT, o INT").repartition(2)
+    got = {tuple(r) for r in latest(df, ["c"], ["d", "o"]).collect()}
+    want = {(c, *max((d, o) for cc, d, o in rows if cc == c)) for c in {r[0] for r in rows}}
+    assert got == want
+    viol = {tuple(r) for r in key_violations(df, ["c", "d"]).collect()}
+    counts = {}
+    for c, d, _ in rows:
+        counts[(c, d)] = counts.get((c, d), 0) + 1
+    assert viol == {("duplicate", c, d, n) for (c, d), n in counts.items() if n > 1}
