@@ -112,7 +112,8 @@ def planes_of(fps: np.ndarray) -> np.ndarray:
     full = np.zeros(rows * 64, dtype="<u8")
     full[:len(fps)] = fps
     bits = np.unpackbits(full.view(np.uint8).reshape(rows, 64, 8), axis=2, bitorder="little")
-    return np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little").view("<u8").reshape(64, rows)
+    packed = np.packbits(np.ascontiguousarray(bits.transpose(2, 0, 1)), axis=2, bitorder="little")
+    return np.ascontiguousarray(packed).view("<u8").reshape(64, rows)
 
 
 def within(planes: np.ndarray, lanes: np.ndarray, queries: np.ndarray, rows: np.ndarray, radius: int):
