@@ -4,11 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from matchforge.llm.common import table
+from matchforge.llm.decontaminate import leaks
 from matchforge.llm.quality import BASE, quality_verdicts
+from matchforge.llm.secret_scan import scan_secrets
 from matchforge.llm.simhash import simhash_components
+from matchforge.llm.sp_dropout import encode_documents
+
+
+def op2_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", "n_pieces", "pieces", "lossless", F.crc32("decoded").alias("decoded_crc32"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +27,22 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *BASE, "base_failed", "kept", "p_quality")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_quality_rules, op9_simhash)}
+    return {f.__name__: f for f in (op2_sentencepiece_dropout, op4_quality_rules, op5_secret_scan,
+                                    op8_decontamination, op9_simhash)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

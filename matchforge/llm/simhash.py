@@ -26,8 +26,9 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from matchforge.llm.common import id_text, ship, shuffle_parts, stage
 from matchforge.llm.components import connected_components
@@ -259,6 +260,13 @@ def links_of(distinct: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
             .mapInArrow(_links(radius), "a long, b long"))
 
 
+def component_roots(distinct: DataFrame, radius: int) -> DataFrame:
+    """(fp, rep, root) of a staged table of distinct fingerprints (fp, rep)."""
+    parts = stage(connected_components(links_of(distinct.select("fp"), radius)), "parts")
+    return distinct.join(parts, distinct["fp"] == parts["node"], "left").select(
+        "fp", "rep", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                        radius: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
@@ -272,11 +280,35 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     ship(docs.sparkSession)
     prints = stage(id_text(docs, id_col, text_col).mapInArrow(_fingerprints(shingle), "id long, fp long"), "prints")
-    distinct = stage(prints.groupBy("fp").agg(F.min("id").alias("rep")), "distinct-prints")
-    parts = stage(connected_components(links_of(distinct.select("fp"), radius)), "parts")
-    rooted = distinct.join(parts, distinct["fp"] == parts["node"], "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root"))
+    rooted = component_roots(stage(prints.groupBy("fp").agg(F.min("id").alias("rep")), "distinct-prints"), radius)
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     of = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(of, "fp").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _with_print(shingle: int, text_col: str, name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = pc.ascii_lower(pc.fill_null(batch.column(text_col), "")).cast(pa.binary())
+            fp = np.fromiter((fingerprint(x.as_py(), shingle) for x in low), dtype=np.uint64, count=len(low))
+            yield batch.append_column(name, pa.array(fp.view(np.int64)))
+    return run
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+               radius: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns: one of each component, that of the
+    smallest id (of equal ids, the smallest fingerprint, then text hash; null
+    ids only where a component has no other)."""
+    ship(docs.sparkSession)
+    marked = docs.mapInArrow(_with_print(shingle, text_col, "_fp"), StructType([*docs.schema, StructField("_fp", LongType())]))
+    prints = stage(marked.select(F.col(id_col).cast("long").alias("id"), F.col("_fp").alias("fp")), "prints")
+    rooted = component_roots(stage(prints.groupBy("fp").agg(F.min("id").alias("rep")), "distinct-prints"), radius)
+    first = F.struct(F.col("rep").isNull().alias("none"), "rep", "fp")
+    kept = rooted.groupBy("root").agg(F.min(first).alias("k")).select(
+        F.col("k.rep").alias("_kept_id"), F.col("k.fp").alias("_kept_fp"))
+    rows = marked.join(kept, marked[id_col].cast("long").eqNullSafe(kept["_kept_id"]) & (marked["_fp"] == kept["_kept_fp"]),
+                       "left_semi")
+    same = Window.partitionBy(F.col(id_col).cast("long"), "_fp").orderBy(F.xxhash64(text_col))
+    return rows.withColumn("_nth", F.row_number().over(same)).where("_nth = 1").select(*docs.columns)
