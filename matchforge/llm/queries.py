@@ -13,10 +13,15 @@ from matchforge.llm.common import table
 from matchforge.llm.decontaminate import leaks
 from matchforge.llm.quality import BASE, quality_verdicts
 from matchforge.llm.secret_scan import scan_secrets
+from matchforge.llm.sharding import shards_by_bytes
 from matchforge.llm.simhash import simhash_components
 from matchforge.llm.sp_dropout import encode_documents
 
 
+def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards_by_bytes(table(spark, sf_dir, "documents"), shards=8)
+
+
 def op2_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).select(
         "doc_id", "n_pieces", "pieces", "lossless", F.crc32("decoded").alias("decoded_crc32"))
@@ -40,7 +45,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sentencepiece_dropout, op4_quality_rules, op5_secret_scan,
+    return {f.__name__: f for f in (op1_vector_packing, op2_sentencepiece_dropout, op4_quality_rules, op5_secret_scan,
                                     op8_decontamination, op9_simhash)} | {"pipeline": corpus_pipeline.run}
 
 
