@@ -16,6 +16,7 @@ from matchforge.llm.secret_scan import scan_secrets
 from matchforge.llm.sharding import shards_by_bytes
 from matchforge.llm.simhash import simhash_components
 from matchforge.llm.sp_dropout import encode_documents
+from matchforge.llm.token_files import token_files
 
 
 def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,7 +50,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_vector_packing, op2_sentencepiece_dropout, op4_quality_rules, op5_secret_scan,
+    return {f.__name__: f for f in (op1_vector_packing, op2_sentencepiece_dropout, op4_quality_rules, op5_secret_scan, op7_token_files,
                                     op8_decontamination, op9_simhash)} | {"pipeline": corpus_pipeline.run}
 
 
