@@ -16,6 +16,7 @@ from matchforge.llm.secret_scan import scan_secrets
 from matchforge.llm.sharding import shards_by_bytes
 from matchforge.llm.simhash import simhash_components
 from matchforge.llm.sp_dropout import encode_documents
+from matchforge.llm.suffix_dedup import remove_repeats
 from matchforge.llm.token_files import token_files
 
 
@@ -28,6 +29,10 @@ def op2_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_pieces", "pieces", "lossless", F.crc32("decoded").alias("decoded_crc32"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", *BASE, "base_failed", "kept", "p_quality")
@@ -50,7 +55,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_vector_packing, op2_sentencepiece_dropout, op4_quality_rules, op5_secret_scan, op7_token_files,
+    return {f.__name__: f for f in (op1_vector_packing, op2_sentencepiece_dropout, op3_suffix_dedup, op4_quality_rules, op5_secret_scan, op7_token_files,
                                     op8_decontamination, op9_simhash)} | {"pipeline": corpus_pipeline.run}
 
 
