@@ -49,6 +49,16 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return spark.read.schema(schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, column: str, parts: int) -> DataFrame:
+    """``df`` written once into the shared folder, dealt by ``column`` into
+    ``parts`` buckets: joins on it with equally bucketed data move no rows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    (df.repartition(parts, column).write.bucketBy(parts, column).sortBy(column).format("parquet")
+     .option("compression", "zstd").option("path", path).saveAsTable(f"{name}_{path.rsplit('-', 1)[-1]}"))
+    return spark.table(f"{name}_{path.rsplit('-', 1)[-1]}")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -18,6 +18,7 @@ from matchforge.llm.simhash import simhash_components
 from matchforge.llm.sp_dropout import encode_documents
 from matchforge.llm.suffix_dedup import remove_repeats
 from matchforge.llm.token_files import token_files
+from matchforge.llm.toxicity import toxicity_scores
 
 
 def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
@@ -55,7 +60,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_vector_packing, op2_sentencepiece_dropout, op3_suffix_dedup, op4_quality_rules, op5_secret_scan, op7_token_files,
+    return {f.__name__: f for f in (op1_vector_packing, op2_sentencepiece_dropout, op3_suffix_dedup, op4_quality_rules, op5_secret_scan, op6_toxicity, op7_token_files,
                                     op8_decontamination, op9_simhash)} | {"pipeline": corpus_pipeline.run}
 
 

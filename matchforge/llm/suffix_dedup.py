@@ -37,9 +37,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchforge.llm.common import by_bytes, id_text, ship, shuffle_parts, stage
+from matchforge.llm.common import bucketed, by_bytes, id_text, ship, shuffle_parts
 from matchforge.llm.words import mix
-from matchforge.session import scratch_path
 
 LENGTH = 50
 GRAM = 16
@@ -401,11 +400,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("strings must be at least as long as an anchor's")
     parts = shuffle_parts(spark)
     # Bucketed by block: the two joins below do not move the texts again.
-    name = "blocks_" + scratch_path(spark, "b").rsplit("-", 1)[-1]
-    made = id_text(docs, id_col, text_col).mapInArrow(_blocks, BLOCKS)
-    (made.repartition(parts, "block").write.bucketBy(parts, "block").sortBy("block").format("parquet")
-     .option("compression", "zstd").option("path", scratch_path(spark, "blocks")).saveAsTable(name))
-    blocks = spark.table(name)
+    blocks = bucketed(id_text(docs, id_col, text_col).mapInArrow(_blocks, BLOCKS), "blocks", "block", parts)
     anchors = blocks.mapInArrow(_anchors(parts, length), "home long, block long, many long, anchors binary")
     shared = (anchors.repartition(parts, "home").mapInArrow(_shared, "block long, shared binary")
               .groupBy("block").agg(F.collect_list("shared").alias("shared")))  # a block's own anchors at most
