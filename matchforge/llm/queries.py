@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from matchforge.llm.common import table
 from matchforge.llm.decontaminate import leaks
+from matchforge.llm.maxent_lm import lm_scores
 from matchforge.llm.quality import BASE, quality_verdicts
 from matchforge.llm.secret_scan import scan_secrets
 from matchforge.llm.sharding import shards_by_bytes
@@ -59,9 +60,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op10_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_vector_packing, op2_sentencepiece_dropout, op3_suffix_dedup, op4_quality_rules, op5_secret_scan, op6_toxicity, op7_token_files,
-                                    op8_decontamination, op9_simhash)} | {"pipeline": corpus_pipeline.run}
+                                    op8_decontamination, op9_simhash, op10_maxent_lm)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
