@@ -195,7 +195,7 @@ class Weights:
         z -= z.max(axis=1, keepdims=True)
         return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
-    def step(self, at: np.ndarray, y: np.ndarray, grown: np.ndarray) -> None:
+    def step(self, at: np.ndarray, y: np.ndarray, grown: np.ndarray, rate: float) -> None:
         """One mini-batch: gradient of the mean log-loss by weight row, with
         each row's own step size (``grown``: its squared gradients so far)."""
         g = np.exp(self.log_softmax(at))
@@ -207,10 +207,10 @@ class Weights:
         touched = s[first].astype(np.int64)
         change = np.add.reduceat(g[order // FEATURES], first, axis=0)
         grown[touched] += (change * change).sum(axis=1)
-        self.rows[touched] -= RATE / np.sqrt(grown[touched])[:, None] * change
+        self.rows[touched] -= rate / np.sqrt(grown[touched])[:, None] * change
 
 
-def _train(sent, parts: int, total: int, dense: np.ndarray):
+def _train(sent, parts: int, total: int, dense: np.ndarray, rate: float):
     """A task's pass over its blocks, from the round's weights; gives back its
     change in slices, times its tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +221,7 @@ def _train(sent, parts: int, total: int, dense: np.ndarray):
             use = np.flatnonzero(~np.repeat(b.held, b.sizes))
             y, at = dense[b.kind][b.code[use]], b.contexts()[use]
             for a in range(0, len(use), BATCH):
-                w.step(at[a:a + BATCH], y[a:a + BATCH], grown)
+                w.step(at[a:a + BATCH], y[a:a + BATCH], grown, rate)
             tokens += len(use)
         if tokens:
             change = ((w.rows - rows) * tokens).astype("<f4")
@@ -271,7 +271,7 @@ def _score(sent, parts: int, total: int, kinds: int, dense: np.ndarray, log_shar
     return run
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = RATE) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for every row of ``docs``.
 
@@ -313,7 +313,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     for k in range(ROUNDS):
         sent = spark.sparkContext.broadcast((bias, rows))  # ROWS times classes, whatever the data
         part = joined.where(F.pmod(F.xxhash64("block"), F.lit(ROUNDS)) == k)
-        moved = (part.mapInArrow(_train(sent, parts, total, dense), "slice long, change binary, tokens long")
+        moved = (part.mapInArrow(_train(sent, parts, total, dense, rate), "slice long, change binary, tokens long")
                  .repartition(SLICES, "slice").mapInArrow(_sum, "slice long, change binary").collect())
         rows = rows.copy().reshape(SLICES, -1)
         for r in moved:

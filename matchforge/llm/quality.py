@@ -95,7 +95,7 @@ def fit(votes: np.ndarray, count: np.ndarray, rounds: int = 200) -> dict[str, np
     """
     total = max(float(count.sum()), 1.0)
     pseudo = max(1.0, total / 1000)
-    start = np.array([[0.45, 0.25, 0.3], [0.02, 0.13, 0.85]])  # class bad, good: votes bad, none, good
+    start = np.array([[0.4, 0.2, 0.4], [0.01, 0.09, 0.9]])  # class bad, good: votes bad, none, good
     theta = np.repeat(start[None], votes.shape[1], axis=0)
     good = 0.85
     cell = votes + 1

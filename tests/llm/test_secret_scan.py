@@ -1,0 +1,90 @@
+import random
+
+import pytest
+
+from matchforge.llm.secret_scan import FEATURES, candidates, dictionary, featured, redact_secrets, scan_secrets, seed_labels
+from tests.llm.conftest import ODD_ROWS
+
+
+def made(n=300):
+    r = random.Random(11)
+    hexes = lambda k: "".join(r.choice("0123456789abcdef") for _ in range(k))
+    rows, secret = [], set()
+    common = "these words are used again and again in every single text".split()
+    for i in range(n):
+        text = " ".join(r.choice(common) for _ in range(40))
+        kind = i % 6
+        if kind == 0:
+            v = "AKIA" + "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))
+            text += f" {v} {text[:30]}"
+            secret.add((i, v))
+        elif kind == 1:
+            v = hexes(40)
+            text += f' token = "{v}" {text[:20]}'
+            secret.add((i, v))
+        elif kind == 2:
+            v = hexes(18)
+            text += f" password={v} x"
+            secret.add((i, v))
+        elif kind == 3:
+            text += " " + "".join(r.choice(common) for _ in range(5)) + " " + text[:9]
+        elif kind == 4:
+            text += " " + "".join(r.choice("0123456789") for _ in range(16)) + " and"
+        rows.append((i, text))
+    return rows, secret
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    rows, secret = made()
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(4).cache(), secret, dict(rows)
+
+
+def test_finds_planted_secrets_only(planted):
+    docs, secret, _ = planted
+    got = {(r["doc_id"], r["value"]) for r in scan_secrets(docs).where("is_secret").collect()}
+    assert len(secret - got) <= 0.02 * len(secret)
+    # hexadecimal values without a letter or a digit cannot be told from numbers or words
+    assert len(got - secret) == 0
+
+
+def test_positions_and_neighbours(planted):
+    docs, _, texts = planted
+    for r in candidates(docs).collect():
+        w = texts[r["id"]].split(" ")
+        at = r["pos"]
+        assert (r["word"], r["before"], r["after"]) == (w[at], w[at - 1], w[at + 1] if at + 1 < len(w) else "")
+        assert r["value"] in r["word"]
+
+
+def test_labelled_findings_are_used(planted):
+    """Labels that call every key id a false positive are followed."""
+    docs, secret, _ = planted
+    found = featured(candidates(docs), dictionary(docs))
+    from pyspark.sql import functions as F
+    labelled = seed_labels(found).withColumn("label", F.when(F.col("value").startswith("AKIA"), 0.0).otherwise(F.col("label")))
+    got = {r["value"] for r in scan_secrets(docs, labelled).where("is_secret").collect()}
+    assert not any(v.startswith("AKIA") for v in got) and len(got) > 60
+    assert set(FEATURES) <= set(found.columns)
+
+
+def test_redaction(planted):
+    docs, secret, texts = planted
+    out = dict(redact_secrets(docs).collect())
+    assert out.keys() == texts.keys()
+    hit = {i: v for i, v in secret}
+    ok = sum(out[i] == t.replace(hit[i], "[SECRET]") if i in hit else out[i] == t for i, t in texts.items())
+    assert ok >= len(texts) - 3
+
+
+def test_no_python_in_the_plan(planted):
+    plan = scan_secrets(planted[0])._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_odd_rows(odd, none):
+    out = scan_secrets(odd).collect()
+    assert all(r["doc_id"] == 7 and not r["is_secret"] for r in out) and len(out) == 1
+    assert sorted(map(str, redact_secrets(odd).collect())) == sorted(map(str, odd.collect()))
+    assert len(odd.columns) == 5 and redact_secrets(odd).count() == len(ODD_ROWS)
+    assert scan_secrets(none).count() == 0 and redact_secrets(none).count() == 0
