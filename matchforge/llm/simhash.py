@@ -240,7 +240,7 @@ def links_of(distinct: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
     if not 0 <= radius <= 3:
         raise ValueError("the counters hold radii 0 to 3")
     n, agree = distinct.count(), 1
-    while n > MEAN_BUCKET << (64 * agree // (radius + agree)) and agree < 4:
+    while n > MEAN_BUCKET * 2 ** (64 * agree // (radius + agree)) and agree < 4:
         agree += 1
     masks = [_signed(m) for m in _choices(radius, agree)]
     keyed = distinct.select("fp", F.explode(F.array(*[
