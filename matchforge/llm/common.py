@@ -20,7 +20,9 @@ STEP_BYTES = 8 << 20
 
 def ship(spark: SparkSession) -> None:
     """Let executors import this package wherever the driver was started:
-    Spark's own file distribution carries a zip of it, once per context."""
+    Spark's own file distribution carries a zip of it, once per context. Texts
+    reach Python in batches of bounded bytes (one longer text comes whole)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(STEP_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_matchforge_shipped", False):
         return

@@ -35,7 +35,9 @@ from matchforge.llm.words import mix
 
 MARK = "▁"
 LONG = 48  # characters of a word beyond which the heap takes over
-CACHE = 400_000  # cuts that a worker keeps
+CACHE = 100_000  # cuts that a worker keeps ...
+OFTEN = 4  # ... of words that a step has so often
+STEP = 4 << 20
 WORDS = re.compile(r"\n| *[^ \n]+| +")
 MASK = (1 << 64) - 1
 
@@ -148,21 +150,18 @@ def agenda(m: Model, word: str, key: int, limit: int) -> list[int]:
     return out
 
 
-def cut_words(m: Model, words: list[str], keys: np.ndarray, limit: int) -> list[np.ndarray]:
+def cut_words(m: Model, words: list[str], keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """The agenda of all words at once: a round applies each word's best
-    allowed merge. Piece ids with characters outside the model as bytes."""
-    out: list = [None] * len(words)
-    short = [i for i, w in enumerate(words) if len(w) <= LONG]
-    for i, w in enumerate(words):
-        if len(w) > LONG:
-            out[i] = agenda(m, w, int(keys[i]), limit)
-    sizes = np.array([len(words[i]) for i in short], dtype=np.int64)
-    chars = np.frombuffer("".join(words[i] for i in short).encode("utf-32-le"), dtype=np.uint32)
-    word = np.repeat(np.arange(len(short)), sizes)
+    allowed merge. Gives back the piece ids of all words behind one another and
+    how many each word has; characters outside the model are bytes."""
+    n_chars = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    short = np.flatnonzero(n_chars <= LONG)
+    sizes = n_chars[short]
+    chars = np.frombuffer("".join([words[i] for i in short.tolist()]).encode("utf-32-le"), dtype=np.uint32)
+    word = np.repeat(short, sizes)
     start = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     sym, end = m.of_char[chars].astype(np.int64), start + 1
-    origin = np.arange(len(chars))
-    key = keys[short][word] if len(short) else np.zeros(0, dtype=np.uint64)
+    origin, key = np.arange(len(chars)), keys[word]
 
     def score(i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For the pair (i, i + 1)."""
@@ -171,7 +170,8 @@ def cut_words(m: Model, words: list[str], keys: np.ndarray, limit: int) -> list[
         return s, new
 
     done: list[tuple] = []
-    s, new = (np.r_[x, [z]] for x, z in zip(score(np.arange(len(sym) - 1)), (-np.inf, 0))) if len(sym) else (np.zeros(0), np.zeros(0))
+    if len(sym):
+        s, new = (np.r_[x, [z]] for x, z in zip(score(np.arange(len(sym) - 1)), (-np.inf, 0)))
     while len(sym):
         first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
         top = np.maximum.reduceat(s, first)
@@ -183,9 +183,7 @@ def cut_words(m: Model, words: list[str], keys: np.ndarray, limit: int) -> list[
             word, origin, start, end, sym, key, s, new = (x[stay] for x in (word, origin, start, end, sym, key, s, new))
             if not len(sym):
                 break
-            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            size = np.diff(np.r_[first, len(word)])
-            top = top[open_]
+            size, top = size[open_], top[open_]
         at = np.flatnonzero(s == np.repeat(top, size))
         at = at[np.r_[True, word[at][1:] != word[at][:-1]]]  # leftmost of equal scores
         sym[at], end[at] = new[at], end[at + 1]
@@ -194,38 +192,45 @@ def cut_words(m: Model, words: list[str], keys: np.ndarray, limit: int) -> list[
         at = at - np.arange(len(at))  # places after the removal
         word, origin, start, end, sym, key, s, new = (x[stay] for x in (word, origin, start, end, sym, key, s, new))
         s[at] = -np.inf
-        right = at[at < len(sym) - 1]
-        if len(right):
-            s[right], new[right] = score(right)
-        left = at[at > 0] - 1
-        if len(left):
-            s[left], new[left] = score(left)
-    if done:
-        word, origin, start, end, sym = (np.concatenate(x) for x in zip(*done))
-        order = np.argsort(origin)
-        word, origin, start, end, sym = (x[order] for x in (word, origin, start, end, sym))
-        odd = (sym < 0) | (sym >= m.size)
-        whole = np.where(odd, end - start, 1)
-        first = np.repeat(np.cumsum(whole) - whole, whole)
-        inner = np.arange(len(first)) - first
-        flat = np.where(np.repeat(odd, whole), -1 - chars[np.repeat(origin, whole) + inner].astype(np.int64), np.repeat(sym, whole))
-        counts = np.bincount(np.repeat(word, whole), minlength=len(short))
-        for i, part in zip(short, np.split(flat, np.cumsum(counts)[:-1])):
-            out[i] = part
-    return [_bytes(m, x) for x in out]
-
-
-def _bytes(m: Model, ids) -> np.ndarray:
-    a = np.asarray(ids, dtype=np.int64)
-    if not len(a) or a.min() >= 0:
-        return a.astype(np.int32)
-    out: list[int] = []
-    for i in a.tolist():
-        out += [i] if i >= 0 else m.byte_ids[list(chr(-1 - i).encode())].tolist()
-    return np.array(out, dtype=np.int32)
-
-
-_CUTS: dict = {}  # of this worker process: (setting, word, variant) -> ids
+        for i in (at[at < len(sym) - 1], at[at > 0] - 1):
+            s[i], new[i] = score(i)
+    none = np.zeros(0, dtype=np.int64)
+    word, origin, start, end, sym = (np.concatenate(x) for x in zip((none,) * 5, *done))
+    order = np.argsort(origin)
+    word, origin, start, end, sym = (x[order] for x in (word, origin, start, end, sym))
+    odd = (sym < 0) | (sym >= m.size)  # symbols without a piece: their characters
+    whole = np.where(odd, end - start, 1)
+    inner = np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)
+    flat = np.where(np.repeat(odd, whole), -1 - chars[np.repeat(origin, whole) + inner].astype(np.int64), np.repeat(sym, whole))
+    word = np.repeat(word, whole)
+    for i in np.flatnonzero(n_chars > LONG).tolist():
+        at = int(np.searchsorted(word, i))
+        cut = np.array(agenda(m, words[i], int(keys[i]), limit), dtype=np.int64)
+        flat, word = np.r_[flat[:at], cut, flat[at:]], np.r_[word[:at], np.full(len(cut), i), word[at:]]
+    flat, n = _bytes(m, flat)
+    return flat, np.bincount(np.repeat(word, n), minlength=len(words))
+
+
+def _bytes(m: Model, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids with characters outside the model, -1 - code point, as byte pieces;
+    how many ids each has become)."""
+    ids = np.asarray(ids, dtype=np.int64)
+    n = np.ones(len(ids), dtype=np.int64)
+    odd = np.flatnonzero(ids < 0)
+    if not len(odd):
+        return ids.astype(np.int32), n
+    chars, of = np.unique(-1 - ids[odd], return_inverse=True)
+    raw = [chr(c).encode() for c in chars.tolist()]
+    table = m.byte_ids[np.array([list(x.ljust(4, b"\0")) for x in raw])]
+    n[odd] = np.array([len(x) for x in raw])[of]
+    which = np.zeros(len(ids), dtype=np.int64)
+    which[odd] = of
+    source = np.repeat(np.arange(len(ids)), n)
+    inner = np.arange(len(source)) - np.repeat(np.cumsum(n) - n, n)
+    return np.where(ids[source] < 0, table[which[source], inner], ids[source]).astype(np.int32), n
+
+
+_CUTS: dict = {}  # of this worker process: (model, seed, rate, variant) -> {word: ids}
 
 
 def encode(m: Model, texts: list[str | None], ids: np.ndarray, seed: int, rate: float, variants: int) -> list[np.ndarray]:
@@ -238,28 +243,38 @@ def encode(m: Model, texts: list[str | None], ids: np.ndarray, seed: int, rate:
     if not sizes.sum():
         return [np.zeros(0, dtype=np.int32) for _ in texts]
     d = pa.array([w for x in lists for w in x], type=pa.string()).dictionary_encode()
+    del lists
     code = d.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    distinct = d.dictionary.to_pylist()
     place = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     drawn = mix(mix(np.repeat(ids.astype(np.uint64), sizes) ^ np.uint64(seed)) ^ place.astype(np.uint64))
-    both, of = np.unique(code * variants + (drawn % np.uint64(variants)).astype(np.int64), return_inverse=True)
-    if len(_CUTS) > CACHE:
+    both, of, times = np.unique(code * variants + (drawn % np.uint64(variants)).astype(np.int64),
+                                return_inverse=True, return_counts=True)
+    words, variant = d.dictionary.take(pa.array(both // variants)).to_pylist(), (both % variants).tolist()
+    if sum(map(len, _CUTS.values())) > CACHE:
         _CUTS.clear()
-    names = [(id(m), seed, rate, distinct[b // variants], b % variants) for b in both.tolist()]
-    cuts = [_CUTS.get(x) for x in names]
-    need = [i for i, x in enumerate(cuts) if x is None]
-    for a in range(0, len(need), 50_000):
-        part = need[a:a + 50_000]
-        keys = np.array([xxh64_intdigest(names[i][3], seed * 1_000_003 + names[i][4] & MASK) for i in part], dtype=np.uint64)
-        for i, x in zip(part, cut_words(m, [names[i][3] for i in part], keys, limit)):
-            cuts[i] = _CUTS[names[i]] = x
-    count = np.fromiter(map(len, cuts), dtype=np.int64, count=len(cuts))
-    pool, at = np.concatenate(cuts), np.cumsum(count) - count
-    n = count[of]
-    begin = np.cumsum(n) - n
-    flat = pool[np.repeat(at[of] - begin, n) + np.arange(n.sum())]
+    kept = [_CUTS.setdefault((id(m), seed, rate, v), {}) for v in range(variants)]
+    cuts = [kept[v].get(w) for w, v in zip(words, variant)]
+    need = np.flatnonzero(np.fromiter((x is None for x in cuts), dtype=bool, count=len(cuts)))
+    old = [x for x in cuts if x is not None]
+    own, v = [words[i] for i in need.tolist()], [variant[i] for i in need.tolist()]
+    keys = np.fromiter((xxh64_intdigest(w, seed * 1_000_003 + k & MASK) for w, k in zip(own, v)), dtype=np.uint64, count=len(own))
+    flat, count = cut_words(m, own, keys, limit)
+    at = np.cumsum(count) - count
+    for i in np.flatnonzero(times[need] >= OFTEN).tolist():
+        kept[v[i]][own[i]] = flat[at[i]:at[i] + count[i]].copy()
+    # All cuts behind one another: first the new ones, then those kept.
+    n_of, begin = np.empty(len(both), dtype=np.int64), np.empty(len(both), dtype=np.int64)
+    n_old = np.fromiter(map(len, old), dtype=np.int64, count=len(old))
+    is_old = np.ones(len(both), dtype=bool)
+    is_old[need] = False
+    n_of[need], begin[need] = count, at
+    n_of[is_old], begin[is_old] = n_old, len(flat) + np.cumsum(n_old) - n_old
+    pool = np.concatenate([flat, *old])
+    n = n_of[of]
+    first = np.cumsum(n) - n
+    out = pool[np.repeat(begin[of] - first, n) + np.arange(n.sum())]
     ends = np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(sizes)]]
-    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    return [out[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
 def decode(m: Model, ids: np.ndarray) -> str:
@@ -281,7 +296,7 @@ def _decoded(m: Model, lists: list[np.ndarray]) -> pa.Array:
 def _run(path: str, seed: int, rate: float, variants: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for batch in by_bytes(batches):
+        for batch in by_bytes(batches, step=STEP):
             ids = pc.fill_null(batch.column("id"), 0).to_numpy(zero_copy_only=False)
             texts = batch.column("txt").to_pylist()
             lists = encode(m, texts, ids, seed, rate, variants)

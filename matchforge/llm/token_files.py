@@ -38,7 +38,8 @@ MAGIC = b"MFTOKEN1"
 HEADER = struct.Struct("<8sIIQQQQ")  # magic, bits, ids per block, ids, documents, blocks, tables at
 BLOCK = 1 << 16
 NO_ID = -(1 << 63)  # stands for a null document id
-CACHE = 400_000
+CACHE, OFTEN = 100_000, 4  # chunks that a worker keeps, of those that a step has so often
+STEP = 4 << 20
 
 #: A chunk is white space and what follows up to the next white space. The
 #: tokenizer's own splitting always cuts where a chunk begins, except at white
@@ -184,15 +185,19 @@ def encode(path: str, texts: list[str | None]) -> list[np.ndarray]:
     out: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * len(texts)
     if sizes.sum():
         d = pa.array([c for x in lists for c in x], type=pa.string()).dictionary_encode()
+        del lists
         of, distinct = d.indices.to_numpy(zero_copy_only=False), d.dictionary.to_pylist()
+        times = np.bincount(of, minlength=len(distinct))
         if len(_CUTS) > CACHE:
             _CUTS.clear()
         cuts = [_CUTS.get((path, c)) for c in distinct]
         need = [i for i, x in enumerate(cuts) if x is None]
-        for a in range(0, len(need), 20_000):
-            part = need[a:a + 20_000]
+        for a in range(0, len(need), 5_000):
+            part = need[a:a + 5_000]
             for i, e in zip(part, t.encode_batch([distinct[i] for i in part], add_special_tokens=False)):
-                cuts[i] = _CUTS[path, distinct[i]] = one(e)
+                cuts[i] = one(e)
+                if times[i] >= OFTEN:
+                    _CUTS[path, distinct[i]] = cuts[i]
         count = np.fromiter(map(len, cuts), dtype=np.int64, count=len(cuts))
         pool, at, n = np.concatenate(cuts), np.cumsum(count) - count, count[of]
         begin = np.cumsum(n) - n
@@ -212,7 +217,7 @@ def _write(folder: str, tokenizer: str, end_id: int, bits: int):
         own = f"{base}/_writing-{shard:06d}-{uuid.uuid4().hex}"
         writer = None
         last = np.array([end_id], dtype=np.uint32)
-        for batch in by_bytes(batches):
+        for batch in by_bytes(batches, step=STEP):
             if writer is None:
                 system.create_dir(base, recursive=True)
                 out = system.open_output_stream(own)

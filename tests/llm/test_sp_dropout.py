@@ -29,8 +29,11 @@ def test_rounds_equal_the_heap_agenda(model, rate, monkeypatch):
     ws = sorted(set(words(3, 400, "abthe▁é😀ingor").split()))
     keys = np.array([xxh64_intdigest(w, 5) for w in ws], dtype=np.uint64)
     limit = min(int(rate * 2**64), S.MASK)
-    got = S.cut_words(model, ws, keys, limit)
-    assert [x.tolist() for x in got] == [S._bytes(model, S.agenda(model, w, int(k), limit)).tolist() for w, k in zip(ws, keys)]
+    ws += ["x" * 150 + ws[0]]  # one that takes the heap
+    keys = np.r_[keys, keys[:1]]
+    flat, n = S.cut_words(model, ws, keys, limit)
+    want = [S._bytes(model, S.agenda(model, w, int(k), limit))[0].tolist() for w, k in zip(ws, keys)]
+    assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == want
 
 
 def brute(model, word, key, limit):
