@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from matchforge.params import BLUE_TEAM, MS_PER_MINUTE, RED_TEAM, TEAM_SIZE
+from matchforge.params import BLUE_TEAM, MS_PER_MINUTE, OUTCOME_DIM, RED_TEAM, TEAM_SIZE
 
 __all__ = [
     "col_of", "int_from_text", "long_from_text", "ceil_minutes", "split_piece", "round_time",
@@ -61,26 +61,18 @@ def map_lookup_by_position(map_col, pos) -> Column:
 
 
 def win_loss(winning_team, pos) -> Column:
-    """Win/loss from the winning team code and the 1-based player position.
-
-    The order of the cases matters; anything not matched is a loss, including
-    unknown team codes and position > 5 on a blue win. A null team is null.
-    """
-    wt, p = col_of(winning_team), col_of(pos)
-    small = TEAM_SIZE
-    return (F.when(wt.isNull(), F.lit(None).cast("string"))
-            .when((wt == BLUE_TEAM) & (p <= small), "win")
-            .when((wt == RED_TEAM) & (p <= small), "loss")
-            .when((wt == RED_TEAM) & (p >= small), "win")
-            .otherwise("loss"))
+    """'win' if the player's side (the first or the last five positions) is the
+    winning team's, else 'loss', unknown team codes included; null for a null
+    team."""
+    team = col_of(winning_team)
+    own = F.when(col_of(pos) <= TEAM_SIZE, BLUE_TEAM).otherwise(RED_TEAM)
+    return F.when(team.isNotNull(), F.when(team == own, "win").otherwise("loss"))
 
 
 def encode_outcome(outcome) -> Column:
-    """'loss' -> 0, 'win' -> 1, anything else -> null (case without default)."""
-    o = col_of(outcome)
-    return (F.when(o == "loss", F.regexp_replace(o, "loss", "0"))
-            .when(o == "win", F.regexp_replace(o, "win", "1"))
-            .cast("int"))
+    """Id of the outcome's word in the outcome dimension; null for any other."""
+    codes = F.create_map(*[F.lit(x) for i, word in OUTCOME_DIM for x in (word, i)])
+    return F.try_element_at(codes, col_of(outcome)).cast("int")
 
 
 def label_word(prediction) -> Column:

@@ -14,10 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def grouped_count(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], largest: bool,
           value_cols: Sequence[str] | None = None) -> DataFrame:
     keys = list(keys)
@@ -82,12 +78,14 @@ def surrogate_key(df: DataFrame, order: Sequence[str], name: str = "serial_id",
 
     Range-partition and sort by ``order``; number rows inside each partition
     (``monotonically_increasing_id`` carries the partition in its high bits
-    and the row in its low 33 bits); add per-partition offsets computed from a
-    table with one row per partition (its size is bounded by the partition
-    count, so broadcasting it is safe).
+    and the row in its low 33 bits) and stage the numbered rows: the offsets and
+    the ids are both computed from that one copy, whatever the optimizer makes
+    of a repeated plan. Offsets come from a table with one row per partition
+    (bounded by the partition count, so broadcasting it is safe). Partitions
+    follow ``spark.sql.shuffle.partitions``, which is sized from the data.
     """
-    from matchforge.session import parallelism
-    n = partitions or parallelism(df.sparkSession)
+    from matchforge.staging import stage
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Sort on ``order`` and then every other column: the order is total, so a
     # value shared by many rows (a hot date) still spreads over several range
     # partitions, and a recomputed partition numbers its rows the same way.
@@ -96,6 +94,7 @@ def surrogate_key(df: DataFrame, order: Sequence[str], name: str = "serial_id",
     numbered = (ordered.withColumn("_mid", F.monotonically_increasing_id())
                 .withColumns({"_part": F.shiftright("_mid", 33),
                               "_row": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))}))
+    numbered = stage(numbered.drop("_mid"), "numbered")
     sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_part",

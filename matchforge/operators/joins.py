@@ -79,8 +79,10 @@ def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str],
     shuffled, and only the few keys it already has come back for the anti-join.
     """
     keys = list(keys)
-    if small_rows is not None and row_count_at_most(rows, small_rows):
-        probe = F.broadcast(rows.select(*keys).distinct())
+    key_rows = rows.select(*keys)
+    if small_rows is not None and row_count_at_most(
+            key_rows, max(1, min(small_rows, DEFAULT_BROADCAST_BYTES // row_width_estimate(key_rows)))):
+        probe = F.broadcast(key_rows.distinct())
         hits = target.select(*keys).join(probe, keys, "left_semi")
         return rows.join(hits, keys, "left_anti")
     return rows.join(target.select(*keys), keys, "left_anti")
@@ -88,5 +90,5 @@ def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str],
 
 def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-null foreign key has no parent row."""
-    parents = parent.select(F.col(pk).alias(fk)).distinct()
+    parents = parent.select(F.col(pk).alias(fk))
     return child.filter(F.col(fk).isNotNull()).join(parents, [fk], "left_anti")

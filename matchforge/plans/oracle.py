@@ -42,10 +42,7 @@ scores AS (SELECT match_id, puuid, k AS gold_at_10,
              FROM t WHERE off >= 36000000) WHERE rn = 1),
 outcomes AS (
   SELECT p.match_id, p.puuid,
-         CASE WHEN m.winning_team = 100 AND p.pos <= 5 THEN 'win'
-              WHEN m.winning_team = 200 AND p.pos <= 5 THEN 'loss'
-              WHEN m.winning_team = 200 AND p.pos >= 5 THEN 'win'
-              ELSE 'loss' END AS outcome
+         if((p.pos <= 5) = (m.winning_team = 100), 'win', 'loss') AS outcome
   FROM (SELECT match_id, puuid, max(pos) AS pos FROM tl GROUP BY match_id, puuid) p
   JOIN longm m USING (match_id)),
 keys AS (
@@ -122,7 +119,7 @@ SELECT match_id, CAST(ceil(duration / 60000) AS INTEGER) AS duration FROM longm
 SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber,
        CAST(trunc(l_quantity) AS INTEGER) AS quantity,
        CAST(trunc(l_extendedprice) AS INTEGER) AS price, l_returnflag
-FROM lineitem WHERE CAST(trunc(l_quantity) AS INTEGER) < 25
+FROM lineitem
 """,
     "select_rename_drop": """
 SELECT s_name AS supplier_name, s_suppkey AS supplier_id, s_nationkey AS nation_id,
@@ -146,10 +143,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
       FROM orders) WHERE rn = 1
 """,
     "streamer_outer_join": """
-WITH p1 AS (SELECT s_suppkey AS id, s_name AS plug, s_nationkey AS rolenum FROM supplier),
+WITH p1 AS (SELECT s_suppkey - 10 AS id, s_name AS plug, s_nationkey AS rolenum FROM supplier),
 p2 AS (SELECT c_custkey AS id, c_name AS name, n_name AS birthplace
-       FROM customer JOIN nation ON c_nationkey = n_nationkey
-       WHERE c_mktsegment = 'BUILDING')
+       FROM customer JOIN nation ON c_nationkey = n_nationkey)
 SELECT coalesce(p1.id, p2.id) AS streamer_id, p1.plug AS streamer_name,
        p2.name AS real_name, p2.birthplace AS birth_place, CAST(p1.rolenum AS INTEGER) AS role_id
 FROM p1 FULL OUTER JOIN p2 ON p1.id = p2.id
@@ -157,8 +153,7 @@ FROM p1 FULL OUTER JOIN p2 ON p1.id = p2.id
     "summoner_outer_join": """
 WITH p1 AS (SELECT l_orderkey AS account_name, count(*) AS line_count
             FROM lineitem GROUP BY l_orderkey),
-p2 AS (SELECT o_orderkey AS account_name, o_custkey AS streamer_id
-       FROM orders WHERE o_orderstatus IN ('F', 'O'))
+p2 AS (SELECT o_orderkey + 10 AS account_name, o_custkey AS streamer_id FROM orders)
 SELECT coalesce(p1.account_name, p2.account_name) AS account_name, p1.line_count,
        p2.streamer_id
 FROM p1 FULL OUTER JOIN p2 ON p1.account_name = p2.account_name

@@ -8,6 +8,7 @@ for interchange files, landing zones and lineage cuts.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,8 @@ def _context(spark: SparkSession):
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) do we create one.
+    Read from the session. Unset, a local master (tests) gets a folder of its
+    own; on a cluster that is an error, since executors would not share it.
     """
     sc = _context(spark)
     current = sc.getCheckpointDir() if sc is not None else None
@@ -56,6 +58,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else ""
+        if not re.match(r"local(\[[^-]*)?$", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="matchforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None:
@@ -73,7 +78,7 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder (never a machine-local temp dir)."""
+    """A fresh, unique path under the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/matchforge/{name}-{uuid.uuid4().hex}"
 

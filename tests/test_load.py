@@ -118,3 +118,69 @@ def test_null_summoner_key_aborts_before_any_append(spark):
     with pytest.raises(LoadError, match="summoner: null"):
         load_star(spark, db, batches)
     assert spark.table(f"{db}.country").count() == 0
+
+
+def test_two_unique_keys_insert_like_a_row_by_row_insert(spark, workdir):
+    """Rows 0 and 2 stay: row 1 loses its b to row 0, which frees a=2."""
+    batch = spark.createDataFrame([(0, 1, "x"), (1, 2, "x"), (2, 2, "y")], "o INT, a INT, b STRING")
+    got = sorted(tuple(r) for r in new_rows(batch, None, [["a"], ["b"]], ["o"]).collect())
+    assert got == [(0, 1, "x"), (2, 2, "y")]
+    # A row that the target rejects frees its other key as well.
+    target = spark.createDataFrame([(9, 9, "x")], "o INT, a INT, b STRING")
+    assert [r.o for r in new_rows(batch, target, [["a"], ["b"]], ["o"]).collect()] == [2]
+    target.write.parquet(f"{workdir}/two")
+    append_if_absent(batch, f"{workdir}/two", [["a"], ["b"]], ["o"])
+    assert sorted(r.o for r in spark.read.parquet(f"{workdir}/two").collect()) == [2, 9]
+
+
+def test_two_unique_keys_equal_brute_force(spark):
+    import random
+    r = random.Random(5)
+    rows = [(i, r.randint(0, 12), r.randint(0, 12)) for i in range(60)]
+    kept, a, b = [], set(), set()
+    for o, x, y in rows:
+        if x not in a and y not in b:
+            kept.append((o, x, y))
+            a.add(x)
+            b.add(y)
+    df = spark.createDataFrame(rows, "o INT, a INT, b INT").repartition(4)
+    assert sorted(map(tuple, new_rows(df, None, [["a"], ["b"]], ["o"]).collect())) == kept
+
+
+def test_surrogate_key_without_exchange_reuse(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select("o_orderkey", "o_orderdate")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        out = surrogate_key(df, ["o_orderdate", "o_orderkey"], partitions=12)
+        n, ids, low, high = out.agg(F.count("*"), F.countDistinct("serial_id"), F.min("serial_id"), F.max("serial_id")).first()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert (ids, low, high) == (n, 1, n)
+
+
+def test_half_made_database_is_completed(spark, workdir):
+    spark.sql(f"CREATE DATABASE mf_half LOCATION '{workdir}/half'")
+    assert create_star_tables(spark, "mf_half") is False
+    assert spark.catalog.tableExists("mf_half.performance")
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from matchforge import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+    monkeypatch.setattr(session, "_context", lambda s: Context())
+
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Session())

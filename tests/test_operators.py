@@ -6,7 +6,7 @@ from matchforge.operators.dims import match_dim, outcome_dim, role_dim, summoner
 from matchforge.operators.filters import (at_least, before, in_region, ranked_solo,
                                           same_value, split_rejects)
 from matchforge.operators.joins import fk_orphans, outer_chain, row_count_at_most, sized_broadcast
-from matchforge.operators.load import save_table, write_csv
+from matchforge.operators.load import write_csv, write_parquet
 from matchforge.operators.project import (cast_int, drop_cols, features_without, keep,
                                           name_positionally, rename, select_as)
 from matchforge.sources.files import literal_table, read_csv_text, read_parquet, read_table
@@ -63,7 +63,8 @@ def test_joins(spark):
 
 def test_sinks_and_sources(spark, workdir):
     df = literal_table(spark, [(1, "x"), (2, "y")], "id INT, v STRING")
-    path = save_table(df, workdir, "t")
+    path = f"{workdir}/t.parquet"
+    write_parquet(df, path)
     assert path.endswith("/t.parquet") and read_parquet(spark, path).count() == 2
     write_csv(df, f"{workdir}/csv")
     text = read_csv_text(spark, f"{workdir}/csv")
