@@ -31,7 +31,7 @@ DIMENSIONS = ["bytes", "tokens", "rows"]
 WEIGHTS = np.array([4.0, 1.0, 1.0])
 SPLIT_SHARE = 0.25
 FINE = 256
-CELL = 10_000
+CELL = 1_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
