@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -90,6 +91,51 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str = "txt",
             yield batch.slice(start, n - start)
 
 
+class Cuts:
+    """What a worker process remembers of words it has cut: ids as bytes, by
+    word. New words are young; one that is asked for again becomes old. Either
+    part is emptied when it is full, so memory stays bounded and words that
+    occur once don't drive out common ones."""
+
+    def __init__(self, young: int = 200_000, old: int = 250_000):
+        self.limits, self.young, self.old = (young, old), {}, {}
+
+    def get(self, words: list[str]) -> list[bytes | None]:
+        old, young, out = self.old, self.young, []
+        if len(old) > self.limits[1]:
+            old.clear()
+        for w in words:
+            x = old.get(w)
+            if x is None:
+                x = young.pop(w, None)
+                if x is not None:
+                    old[w] = x
+            out.append(x)
+        return out
+
+    def put(self, words: list[str], cuts: list[bytes]) -> None:
+        if len(self.young) + len(words) > self.limits[0]:
+            self.young.clear()
+        if len(words) <= self.limits[0]:
+            self.young.update(zip(words, cuts))
+
+
+def pooled(cuts: list[bytes], of: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Ids of texts: ``of`` numbers the cut of each of their words, ``sizes``
+    says how many words each text has."""
+    count = np.fromiter(map(len, cuts), dtype=np.int64, count=len(cuts)) // 4
+    pool, at, n = np.frombuffer(b"".join(cuts), dtype="<u4"), np.cumsum(count) - count, count[of]
+    flat = pool[np.repeat(at[of] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    ends = np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(sizes)]]
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def sliced(flat: np.ndarray, count: np.ndarray) -> list[bytes]:
+    """Ids that lie behind one another, as the bytes of each word."""
+    raw, ends = flat.astype("<u4").tobytes(), np.r_[0, np.cumsum(count) * 4].tolist()
+    return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def crc_mod(id_col: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo n (null ids: remainder of the
     empty string, 0)."""

@@ -30,13 +30,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from matchforge.llm.common import by_bytes, id_text, ship
+from matchforge.llm.common import Cuts, by_bytes, id_text, pooled, ship, sliced
 from matchforge.llm.words import mix
 
 MARK = "▁"
 LONG = 48  # characters of a word beyond which the heap takes over
-CACHE = 100_000  # cuts that a worker keeps ...
-OFTEN = 4  # ... of words that a step has so often
 STEP = 4 << 20
 WORDS = re.compile(r"\n| *[^ \n]+| +")
 MASK = (1 << 64) - 1
@@ -230,7 +228,7 @@ def _bytes(m: Model, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(ids[source] < 0, table[which[source], inner], ids[source]).astype(np.int32), n
 
 
-_CUTS: dict = {}  # of this worker process: (model, seed, rate, variant) -> {word: ids}
+_CUTS: dict[tuple, Cuts] = {}  # of this worker process, by setting
 
 
 def encode(m: Model, texts: list[str | None], ids: np.ndarray, seed: int, rate: float, variants: int) -> list[np.ndarray]:
@@ -241,40 +239,24 @@ def encode(m: Model, texts: list[str | None], ids: np.ndarray, seed: int, rate:
     lists = [WORDS.findall(" " + t) if t else [] for t in texts]
     sizes = np.array([len(x) for x in lists], dtype=np.int64)
     if not sizes.sum():
-        return [np.zeros(0, dtype=np.int32) for _ in texts]
+        return [np.zeros(0, dtype=np.uint32) for _ in texts]
     d = pa.array([w for x in lists for w in x], type=pa.string()).dictionary_encode()
     del lists
     code = d.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     place = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     drawn = mix(mix(np.repeat(ids.astype(np.uint64), sizes) ^ np.uint64(seed)) ^ place.astype(np.uint64))
-    both, of, times = np.unique(code * variants + (drawn % np.uint64(variants)).astype(np.int64),
-                                return_inverse=True, return_counts=True)
-    words, variant = d.dictionary.take(pa.array(both // variants)).to_pylist(), (both % variants).tolist()
-    if sum(map(len, _CUTS.values())) > CACHE:
-        _CUTS.clear()
-    kept = [_CUTS.setdefault((id(m), seed, rate, v), {}) for v in range(variants)]
-    cuts = [kept[v].get(w) for w, v in zip(words, variant)]
-    need = np.flatnonzero(np.fromiter((x is None for x in cuts), dtype=bool, count=len(cuts)))
-    old = [x for x in cuts if x is not None]
-    own, v = [words[i] for i in need.tolist()], [variant[i] for i in need.tolist()]
-    keys = np.fromiter((xxh64_intdigest(w, seed * 1_000_003 + k & MASK) for w, k in zip(own, v)), dtype=np.uint64, count=len(own))
-    flat, count = cut_words(m, own, keys, limit)
-    at = np.cumsum(count) - count
-    for i in np.flatnonzero(times[need] >= OFTEN).tolist():
-        kept[v[i]][own[i]] = flat[at[i]:at[i] + count[i]].copy()
-    # All cuts behind one another: first the new ones, then those kept.
-    n_of, begin = np.empty(len(both), dtype=np.int64), np.empty(len(both), dtype=np.int64)
-    n_old = np.fromiter(map(len, old), dtype=np.int64, count=len(old))
-    is_old = np.ones(len(both), dtype=bool)
-    is_old[need] = False
-    n_of[need], begin[need] = count, at
-    n_of[is_old], begin[is_old] = n_old, len(flat) + np.cumsum(n_old) - n_old
-    pool = np.concatenate([flat, *old])
-    n = n_of[of]
-    first = np.cumsum(n) - n
-    out = pool[np.repeat(begin[of] - first, n) + np.arange(n.sum())]
-    ends = np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(sizes)]]
-    return [out[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    both, of = np.unique(code * variants + (drawn % np.uint64(variants)).astype(np.int64), return_inverse=True)
+    names = [f"{v} {w}" for v, w in zip((both % variants).tolist(), d.dictionary.take(pa.array(both // variants)).to_pylist())]
+    memory = _CUTS.setdefault((id(m), seed, rate, variants), Cuts())
+    cuts = memory.get(names)
+    need = [i for i, x in enumerate(cuts) if x is None]
+    own = [names[i] for i in need]
+    keys = np.fromiter((xxh64_intdigest(x, seed) for x in own), dtype=np.uint64, count=len(own))
+    new = sliced(*cut_words(m, [x.partition(" ")[2] for x in own], keys, limit))
+    for i, x in zip(need, new):
+        cuts[i] = x
+    memory.put(own, new)
+    return pooled(cuts, of, sizes)
 
 
 def decode(m: Model, ids: np.ndarray) -> str:
@@ -285,7 +267,7 @@ def decode(m: Model, ids: np.ndarray) -> str:
 
 def _decoded(m: Model, lists: list[np.ndarray]) -> pa.Array:
     """Texts of many id lists: the pieces' bytes lie behind one another."""
-    flat = m.piece_bytes.take(pa.array(np.concatenate([np.zeros(0, dtype=np.int32), *lists])))
+    flat = m.piece_bytes.take(pa.array(np.concatenate([np.zeros(0, dtype=np.uint32), *lists])))
     data = flat.buffers()[2]
     raw = data.to_pybytes() if data is not None else b""
     ends = np.frombuffer(flat.buffers()[1], dtype=np.int32)[:len(flat) + 1]
@@ -304,7 +286,7 @@ def _run(path: str, seed: int, rate: float, variants: int):
             same = [(a or "") == b for a, b in zip(texts, back.to_pylist())]
             sizes = np.array([len(x) for x in lists], dtype=np.int32)
             pieces = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)),
-                                              pa.array(np.concatenate([np.zeros(0, dtype=np.int32), *lists])))
+                                              pa.array(np.concatenate([np.zeros(0, dtype=np.uint32), *lists]).astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(sizes.astype(np.int64)), pieces, back, pa.array(same)],
                 ["doc_id", "n_pieces", "pieces", "decoded", "lossless"])

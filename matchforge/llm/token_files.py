@@ -31,14 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchforge.llm.common import by_bytes, id_text, ship, shuffle_parts, stage
+from matchforge.llm.common import Cuts, by_bytes, id_text, pooled, ship, shuffle_parts, sliced, stage
 from matchforge.session import scratch_path
 
 MAGIC = b"MFTOKEN1"
 HEADER = struct.Struct("<8sIIQQQQ")  # magic, bits, ids per block, ids, documents, blocks, tables at
 BLOCK = 1 << 16
 NO_ID = -(1 << 63)  # stands for a null document id
-CACHE, OFTEN = 100_000, 4  # chunks that a worker keeps, of those that a step has so often
 STEP = 4 << 20
 
 #: A chunk is white space and what follows up to the next white space. The
@@ -172,41 +171,36 @@ def _tokenizer(path: str):
     return t
 
 
-_CUTS: dict[tuple[str, str], np.ndarray] = {}  # of this worker process
+_CUTS: dict[str, Cuts] = {}  # of this worker process, by tokenizer
 
 
 def encode(path: str, texts: list[str | None]) -> list[np.ndarray]:
     """Ids of whole texts, as the tokenizer gives them without special tokens;
-    it encodes each distinct chunk once."""
+    it encodes each distinct chunk of a step once."""
     t = _tokenizer(path)
-    one = lambda x: np.array(x.ids, dtype=np.uint32)
     lists = [CHUNK.findall(x) if x and not WIDE_SPACE.search(x) else [] for x in texts]
     sizes = np.array([len(x) for x in lists], dtype=np.int64)
     out: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * len(texts)
     if sizes.sum():
         d = pa.array([c for x in lists for c in x], type=pa.string()).dictionary_encode()
         del lists
-        of, distinct = d.indices.to_numpy(zero_copy_only=False), d.dictionary.to_pylist()
-        times = np.bincount(of, minlength=len(distinct))
-        if len(_CUTS) > CACHE:
-            _CUTS.clear()
-        cuts = [_CUTS.get((path, c)) for c in distinct]
+        distinct = d.dictionary.to_pylist()
+        memory = _CUTS.setdefault(path, Cuts())
+        cuts = memory.get(distinct)
         need = [i for i, x in enumerate(cuts) if x is None]
-        for a in range(0, len(need), 5_000):
-            part = need[a:a + 5_000]
-            for i, e in zip(part, t.encode_batch([distinct[i] for i in part], add_special_tokens=False)):
-                cuts[i] = one(e)
-                if times[i] >= OFTEN:
-                    _CUTS[path, distinct[i]] = cuts[i]
-        count = np.fromiter(map(len, cuts), dtype=np.int64, count=len(cuts))
-        pool, at, n = np.concatenate(cuts), np.cumsum(count) - count, count[of]
-        begin = np.cumsum(n) - n
-        flat = pool[np.repeat(at[of] - begin, n) + np.arange(n.sum())]
-        ends = np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(sizes)]]
-        out = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        words = [distinct[i] for i in need]
+        new: list[bytes] = []
+        for a in range(0, len(words), 50_000):  # as the words of one text, so that one result holds all
+            e = t.encode(words[a:a + 50_000], is_pretokenized=True, add_special_tokens=False)
+            of = np.array(e.word_ids, dtype=np.int64)
+            new += sliced(np.array(e.ids), np.bincount(of, minlength=len(words[a:a + 50_000])))
+        for i, x in zip(need, new):
+            cuts[i] = x
+        memory.put(words, new)
+        out = pooled(cuts, d.indices.to_numpy(zero_copy_only=False), sizes)
     for i, x in enumerate(texts):
         if x and not sizes[i]:
-            out[i] = one(t.encode(x, add_special_tokens=False))
+            out[i] = np.array(t.encode(x, add_special_tokens=False).ids, dtype=np.uint32)
     return out
 
 
