@@ -30,11 +30,6 @@ def roster_predicate(home: str, current: str, roles: Iterable[int] = BASIC_ROLES
     return pred
 
 
-def at_least(df: DataFrame, col: str, minimum: int) -> DataFrame:
-    """Minimum-duration filter (keep ``col >= minimum``)."""
-    return df.filter(F.col(col) >= minimum)
-
-
 def before(df: DataFrame, col: str, cutoff: int) -> DataFrame:
     """Event cutoff: keep ``col < cutoff`` (strict)."""
     return df.filter(F.col(col) < cutoff)
@@ -70,8 +65,8 @@ def split_rejects(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(verdict), df.filter(~verdict)
 
 
-def ranked_solo(df: DataFrame, queue_col: str = "queueId") -> DataFrame:
-    return df.filter(F.col(queue_col) == RANKED_SOLO_QUEUE)
+def ranked_solo(df: DataFrame, queue_col: str = "queueId", queue: int = RANKED_SOLO_QUEUE) -> DataFrame:
+    return df.filter(F.col(queue_col) == queue)
 
 
 def in_region(df: DataFrame, region: str | None, region_col: str = "region") -> DataFrame:

@@ -14,10 +14,11 @@ in a randomised 3-fold search):
 * Candidates with ``C <= 0`` are invalid: their score is null and they never
   win. The solver choice of the source grid has no Spark counterpart (one
   solver, same objective); candidates are sampled from the C grid with a seed.
-* Folds are assigned by a seeded hash of the row, the same way in each class,
-  so each fold holds about a third of every class (exact per-class balancing
-  would need a per-class sort; at scale the hash split is as good and needs no
-  shuffle).
+* Folds are stratified: the rows of each class are numbered (without a
+  single-task sort) and dealt out in turn, so the folds of a class differ by at
+  most one row, also among equal rows.
+* Rows with a null feature or label are left out before a fit and counted; a
+  candidate without a finite score has a null score and never wins.
 
 Every fit reads a staged copy of the training table (written once to the
 shared folder), not the lineage that built it.
@@ -25,6 +26,7 @@ shared folder), not the lineage that built it.
 
 from __future__ import annotations
 
+import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
@@ -32,18 +34,20 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchforge.functions.scalar import label_word
+from matchforge.operators.aggregates import surrogate_key
+from matchforge.operators.filters import split_rejects
 from matchforge.operators.joins import left_enrich
+from matchforge.operators.project import features_without
+from matchforge.staging import stage
 from matchforge.params import MAX_ITER, TUNE_C_GRID, TUNE_CANDIDATES, TUNE_FOLDS
 
-ROWS_PER_PARTITION = 1_000_000
-LARGE_TRAINING_ROWS = 10_000_000     # above this, at most LARGE_TRAINING_FITS fits at once
-LARGE_TRAINING_FITS = 3
+PARALLEL_FITS = 4  # candidates fitted at a time; each holds a fold's cached rows
 FEATURE_DROP = ["champion_id", "performance_id", "match_id", "summoner_id", "champion_name"]
 LABEL = "outcome_id"
 
@@ -54,48 +58,85 @@ def feature_table(performance: DataFrame, champion: DataFrame) -> DataFrame:
 
 
 def feature_columns(df: DataFrame, label: str = LABEL) -> list[str]:
-    return [c for c in df.columns if c != label]
+    return features_without(df, label)
 
 
-def population_scaler(df: DataFrame, cols: Sequence[str],
-                      suffix: str = "_z") -> tuple[SQLTransformer, int]:
-    """Fit mean / population std of ``cols`` (one aggregate row) and return a
-    transformer that standardises them, with the row count."""
+def moments(df: DataFrame, cols: Sequence[str], by: str | None = None) -> list[dict]:
+    """Per group of ``by`` (or of all rows): n, and the mean and population
+    variance of each column. One aggregation, one row per group."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in cols:
-        aggs += [F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
-                 F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}")]
-    stats = df.agg(*aggs).first()
+        x = F.col(c).cast("double")
+        aggs += [F.avg(x).alias(f"m_{c}"), F.var_pop(x).alias(f"v_{c}")]
+    rows = (df.groupBy(by) if by else df.groupBy()).agg(*aggs).collect()
+    return [r.asDict() for r in rows]
+
+
+def merged(parts: Sequence[dict], cols: Sequence[str]) -> dict:
+    """Moments of the union of disjoint groups."""
+    n = sum(p["_n"] for p in parts)
+    out = {"_n": n}
+    for c in cols:
+        mean = sum(p["_n"] * (p[f"m_{c}"] or 0.0) for p in parts) / max(n, 1)
+        out[f"m_{c}"] = mean
+        out[f"v_{c}"] = sum(p["_n"] * ((p[f"v_{c}"] or 0.0) + ((p[f"m_{c}"] or 0.0) - mean) ** 2) for p in parts) / max(n, 1)
+    return out
+
+
+def scaler_of(stats: dict, cols: Sequence[str], suffix: str = "_z") -> SQLTransformer:
+    """Transformer that standardises ``cols`` by the population deviation; a
+    constant column gets deviation 1."""
     exprs = []
     for c in cols:
-        mean = stats[f"m_{c}"] or 0.0
-        std = stats[f"s_{c}"] or 0.0
-        std = std if std > 0 else 1.0
-        exprs.append(f"(CAST(`{c}` AS DOUBLE) - ({mean!r})) / ({std!r}) AS `{c}{suffix}`")
-    return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"), stats["_n"]
+        mean, std = stats[f"m_{c}"] or 0.0, (stats[f"v_{c}"] or 0.0) ** 0.5
+        exprs.append(f"(CAST(`{c}` AS DOUBLE) - ({mean!r})) / ({std if std > 0 else 1.0!r}) AS `{c}{suffix}`")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
+
+
+def population_scaler(df: DataFrame, cols: Sequence[str],
+                      suffix: str = "_z") -> tuple[SQLTransformer, int]:
+    """The scaler of ``df``'s columns, and its row count."""
+    stats = merged(moments(df, cols), cols)
+    return scaler_of(stats, cols, suffix), stats["_n"]
+
+
+def complete_rows(df: DataFrame, label: str = LABEL) -> DataFrame:
+    """Rows without a null feature or label: what a fit can use."""
+    return df.dropna(how="any", subset=[*feature_columns(df, label), label])
+
+
+def _classifier(c_value: float, n: int, label: str, max_iter: int) -> LogisticRegression:
+    return LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
+                              regParam=1.0 / (c_value * n), elasticNetParam=0.0,
+                              standardization=False, fitIntercept=True, tol=1e-6)
+
+
+def _assembler(features: Sequence[str]) -> VectorAssembler:
+    # "keep": a request with a missing value still gets its row back (score()
+    # gives it a null prediction); fits only see complete rows.
+    return VectorAssembler(inputCols=[f"{c}_z" for c in features], outputCol="features", handleInvalid="keep")
 
 
 def fit(df: DataFrame, c_value: float, label: str = LABEL,
         features: Sequence[str] | None = None, max_iter: int = MAX_ITER) -> PipelineModel:
-    """Scaler + assembler + L2 logistic regression with the source's objective."""
+    """Scaler + assembler + L2 logistic regression with the source's objective,
+    on the complete rows of ``df``."""
     if c_value <= 0:
         raise ValueError("C must be positive")
     features = list(features or feature_columns(df, label))
-    scaler, n = population_scaler(df, features)
-    # Partitions sized from the row count (about a million rows each): every
-    # optimiser iteration is a job over them, so tiny partitions cost a task
-    # each for nothing, and large inputs keep their parallelism.
-    df = df.coalesce(max(1, -(-n // ROWS_PER_PARTITION)))
-    assembler = VectorAssembler(inputCols=[f"{c}_z" for c in features], outputCol="features",
-                                handleInvalid="keep")
-    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter,
-                            regParam=1.0 / (c_value * n), elasticNetParam=0.0,
-                            standardization=False, fitIntercept=True, tol=1e-6)
-    return Pipeline(stages=[scaler, assembler, lr]).fit(df)
+    rows = df.dropna(how="any", subset=[*features, label])
+    scaler, n = population_scaler(rows, features)
+    return Pipeline(stages=[scaler, _assembler(features), _classifier(c_value, n, label, max_iter)]).fit(rows)
 
 
-def with_folds(df: DataFrame, folds: int = TUNE_FOLDS, seed: int = 0) -> DataFrame:
-    return df.withColumn("_fold", F.pmod(F.xxhash64(*df.columns, F.lit(seed)), F.lit(folds)))
+def with_folds(df: DataFrame, folds: int = TUNE_FOLDS, seed: int = 0, label: str = LABEL) -> DataFrame:
+    """``df`` with ``_fold``: the rows of each class, in the order of a seeded
+    hash, dealt out in turn. Folds of a class differ by at most one row."""
+    marked = df.withColumn("_hash", F.xxhash64(F.lit(seed), *df.columns))
+    numbered = surrogate_key(marked, [label, "_hash"], "_nth")  # dense over classes: a class is one range
+    first = numbered.groupBy(F.col(label).alias("_class")).agg(F.min("_nth").alias("_first"))  # one row per class
+    return numbered.join(F.broadcast(first), F.col(label).eqNullSafe(F.col("_class"))).select(
+        *df.columns, F.pmod(F.col("_nth") - F.col("_first"), F.lit(folds)).cast("int").alias("_fold"))
 
 
 @dataclass
@@ -104,6 +145,7 @@ class TuneResult:
     best_score: float
     scores: dict
     model: PipelineModel
+    incomplete: int = 0
 
 
 def sample_candidates(seed: int, n: int = TUNE_CANDIDATES, grid=TUNE_C_GRID,
@@ -115,58 +157,83 @@ def sample_candidates(seed: int, n: int = TUNE_CANDIDATES, grid=TUNE_C_GRID,
     return sorted({c for c, _ in picked})
 
 
-def tune_and_fit(df: DataFrame, label: str = LABEL, seed: int = 0,
-                 candidates: Sequence[float] | None = None, folds: int = TUNE_FOLDS,
-                 max_iter: int = MAX_ITER, parallelism: int | None = None) -> TuneResult:
-    """Randomised search over C with k-fold accuracy, then a refit of the best
-    C on every row. ``df`` should be staged (read from storage)."""
-    features = feature_columns(df, label)
-    cands = list(candidates) if candidates is not None else sample_candidates(seed)
-    data = with_folds(df, folds, seed)
-    evaluator = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                                  metricName="accuracy")
-    def fold_accuracy(job):
-        c, f = job
-        train = data.filter(F.col("_fold") != f).drop("_fold")
-        test = data.filter(F.col("_fold") == f).drop("_fold")
-        model = fit(train, c, label, features, max_iter)
-        return c, evaluator.evaluate(model.transform(test))
-
-    # Fits are independent Spark jobs; run several at once (as CrossValidator's
-    # ``parallelism`` does) so small fits do not leave executors idle.
-    jobs = [(c, f) for c in cands if c > 0 for f in range(folds)]
-    if parallelism is None:
-        # Every running fit caches its own training fold; small tables run all
-        # fits at once, large ones a few at a time so caches stay bounded.
-        from matchforge.session import parallelism as cores
-        if df.count() <= LARGE_TRAINING_ROWS:
-            parallelism = min(len(jobs), cores(df.sparkSession))
-        else:
-            parallelism = min(len(jobs), LARGE_TRAINING_FITS)
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(fold_accuracy, jobs))
-    scores: dict = {c: None for c in cands}          # C <= 0 stays null
-    for c in cands:
-        accs = [a for cc, a in results if cc == c]
-        if accs:
-            scores[c] = sum(accs) / len(accs)
-    valid = {c: s for c, s in scores.items() if s is not None}
+def best_candidate(scores: dict) -> float:
+    """The candidate of the highest finite score; of equal ones the smallest."""
+    valid = {c: s for c, s in scores.items() if s is not None and math.isfinite(s)}
     if not valid:
         raise ValueError("no valid candidate")
-    best_c = max(sorted(valid), key=lambda c: valid[c])
-    model = fit(df, best_c, label, features, max_iter)
-    return TuneResult(best_c, valid[best_c], scores, model)
+    return max(sorted(valid), key=lambda c: valid[c])
 
 
-def score(model: PipelineModel, rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Predicted class and its word ('win' / 'loss') for every row."""
+def cross_validate(df: DataFrame, candidates: Sequence[float], label: str = LABEL, seed: int = 0,
+                   folds: int = TUNE_FOLDS, max_iter: int = MAX_ITER, parallelism: int = PARALLEL_FITS) -> dict:
+    """Mean accuracy over the folds of each C; null if C is invalid or a fold
+    gives none. The moments of all folds come from one aggregation; a fold's
+    training vectors are cached once and shared by the candidates."""
+    features = feature_columns(df, label)
+    data = stage(with_folds(df, folds, seed, label), "folds")
+    parts = {p["_fold"]: p for p in moments(data, features, "_fold")}
+    results: dict = {c: [] for c in candidates}
+    for f in range(folds):
+        stats = merged([p for k, p in parts.items() if k != f], features)
+        pipe = Pipeline(stages=[scaler_of(stats, features), _assembler(features)])
+        ready = pipe.fit(data).transform(data).select("_fold", label, "features")
+        train = ready.filter(F.col("_fold") != f).persist(StorageLevel.MEMORY_AND_DISK)
+        test = ready.filter(F.col("_fold") == f)
+
+        def accuracy(c, train=train, test=test, n=stats["_n"]):
+            if c <= 0 or not n:
+                return c, None
+            hit = F.avg((F.col("prediction") == F.col(label)).cast("double"))
+            return c, _classifier(c, n, label, max_iter).fit(train).transform(test).agg(hit).first()[0]
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            for c, a in pool.map(accuracy, candidates):
+                results[c].append(a)
+        train.unpersist()
+    return {c: (sum(a) / folds if all(x is not None and math.isfinite(x) for x in a) else None) for c, a in results.items()}
+
+
+def tune_and_fit(df: DataFrame, label: str = LABEL, seed: int = 0,
+                 candidates: Sequence[float] | None = None, folds: int = TUNE_FOLDS,
+                 max_iter: int = MAX_ITER, parallelism: int = PARALLEL_FITS) -> TuneResult:
+    """Randomised search over C with k-fold accuracy, then a refit of the best
+    C on every complete row. ``df`` should be staged (read from storage)."""
+    cands = list(candidates) if candidates is not None else sample_candidates(seed)
+    rows = complete_rows(df, label)
+    incomplete = df.filter(" OR ".join(f"`{c}` IS NULL" for c in df.columns)).count()
+    scores = cross_validate(rows, cands, label, seed, folds, max_iter, parallelism)
+    best_c = best_candidate(scores)
+    model = fit(rows, best_c, label, feature_columns(df, label), max_iter)
+    return TuneResult(best_c, scores[best_c], scores, model, incomplete)
+
+
+def request_ok(features: Sequence[str]) -> Column:
+    """Whether a request has every feature."""
+    ok = F.lit(True)
+    for c in features:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return ok
+
+
+def score(model: PipelineModel, rows: DataFrame, keep: Sequence[str] = (),
+          features: Sequence[str] | None = None) -> DataFrame:
+    """Predicted class and its word ('win' / 'loss') for every row. With
+    ``features``, a row that lacks one of them has a null class and word."""
     out = model.transform(rows)
-    return out.select(*keep, F.col("prediction").cast("int").alias("prediction"),
-                      label_word(F.col("prediction")).alias("predicted"))
+    ok = request_ok(features) if features else F.lit(True)
+    return out.select(*keep, F.when(ok, F.col("prediction").cast("int")).alias("prediction"),
+                      F.when(ok, label_word(F.col("prediction"))).alias("predicted"))
 
 
 def parse_requests(requests: DataFrame, text_col: str, features: Sequence[str]) -> DataFrame:
-    """JSON request records (one flat object each) -> feature rows."""
+    """JSON request records (one flat object each) -> feature rows; a record
+    that does not parse, or lacks a field, has nulls there."""
     schema = ", ".join(f"`{c}` DOUBLE" for c in features)
     parsed = requests.select("*", F.from_json(F.col(text_col), schema).alias("_req"))
     return parsed.select("*", *[F.col(f"_req.`{c}`").alias(c) for c in features]).drop("_req")
+
+
+def split_requests(parsed: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(requests that can be scored, those that lack a field or don't parse)."""
+    return split_rejects(parsed, request_ok(features))

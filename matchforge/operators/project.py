@@ -39,10 +39,6 @@ def name_positionally(df: DataFrame, *names: str) -> DataFrame:
     return df.toDF(*names)
 
 
-def keep(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    return df.select(*cols)
-
-
 def features_without(df: DataFrame, label: str) -> list[str]:
     """Feature column list: every column but the label."""
     return [c for c in df.columns if c != label]

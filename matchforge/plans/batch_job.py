@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchforge.operators import dims
-from matchforge.operators.filters import in_region, ranked_solo
-from matchforge.operators.flatten import extract_tables, performance_from_timelines
+from matchforge.operators.facts import split_incomplete
+from matchforge.operators.filters import in_region
+from matchforge.operators.flatten import (extract_tables, latest_matches, one_per_match,
+                                          performance_from_timelines)
 from matchforge.operators.load import load_star, save_model, write_parquet
 from matchforge.operators.model import feature_table, tune_and_fit
 from matchforge.sources import documents as D
+from matchforge.staging import stage
 
 
 @dataclass
@@ -33,13 +36,14 @@ class Landed:
     timelines: str
     details: str
     champions: str
+    headers: str           # match lists: {puuid, match_id, queue_id, started_at}
 
 
 def extract(spark: SparkSession, landed: Landed, mode: str = "all",
-            profile_keys=("Name", "Birthplace"), region: str | None = None,
-            ranked_only: bool = True) -> dict[str, DataFrame]:
-    """Flatten one run's landed documents. Only ranked-solo timelines are used
-    (``ranked_only``); ``region`` optionally restricts the accounts."""
+            profile_keys=("Name", "Birthplace"), region: str | None = None) -> dict[str, DataFrame]:
+    """Flatten one run's landed documents. Each tracked player counts in the
+    latest ranked-solo match of their match list; ``region`` optionally
+    restricts the accounts."""
     roster = D.roster(D.read_roster(spark, landed.roster), mode)
     pages = D.read_json(spark, landed.profiles, D.S.PROFILE_PAGE)
     profiles = D.profiles(pages.join(roster.select("DT_RowId"), ["DT_RowId"], "left_semi"),
@@ -51,14 +55,17 @@ def extract(spark: SparkSession, landed: Landed, mode: str = "all",
         feeds.join(roster.select("DT_RowId"), ["DT_RowId"], "left_semi"))
     accounts = in_region(accounts, region)
     summoners = D.summoners(D.read_summoners(spark, landed.summoners), accounts)
-    players = summoners.select("puuid").filter(F.col("puuid").isNotNull())
+    headers, header_rejects = D.read_json_with_rejects(spark, landed.headers, D.S.MATCH_HEADER)
+    tracked = summoners.select("puuid").filter(F.col("puuid").isNotNull()).distinct()
+    players = stage(latest_matches(headers.join(tracked, ["puuid"], "left_semi")), "players")
     timelines, timeline_rejects = D.read_json_with_rejects(spark, landed.timelines, D.S.TIMELINE)
-    if ranked_only:
-        timelines = ranked_solo(timelines, "info.queueId")
     details, detail_rejects = D.read_json_with_rejects(spark, landed.details, D.S.MATCH_DETAIL)
     rejects = (feed_rejects.select(F.lit("feeds").alias("source"), "raw")
                .unionByName(timeline_rejects.select(F.lit("timelines").alias("source"), "raw"))
+               .unionByName(header_rejects.select(F.lit("headers").alias("source"), "raw"))
                .unionByName(detail_rejects.select(F.lit("details").alias("source"), "raw")))
+    timelines = stage(one_per_match(timelines, "metadata.matchId"), "timelines")
+    details = stage(one_per_match(details, "match_id"), "details")
     out = extract_tables(timelines, details, players)
     out.update(roster=roster, profiles=profiles, accounts=accounts, summoners=summoners,
                champions=D.champion_rows(D.read_champion_catalog(spark, landed.champions)),
@@ -67,8 +74,12 @@ def extract(spark: SparkSession, landed: Landed, mode: str = "all",
 
 
 def transform(spark: SparkSession, ex: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    perf = performance_from_timelines(ex["timelines"], ex["details"], ex["players"])
+    """The eight star tables, and under ``incomplete`` the performances that
+    still lack their match detail or outcome (they are not loaded)."""
+    perf = performance_from_timelines(ex["timelines"], ex["details"], ex["players"], fill_zero=False)
+    complete, incomplete = split_incomplete(stage(perf, "performance"))
     return {
+        "incomplete": incomplete,
         "country": dims.country_dim(ex["profiles"]),
         "role": dims.role_dim(ex["roster"]),
         "champion": dims.champion_dim(ex["champions"]),
@@ -76,7 +87,7 @@ def transform(spark: SparkSession, ex: dict[str, DataFrame]) -> dict[str, DataFr
         "summoner": dims.summoner_dim(ex["summoners"], ex["accounts"]),
         "match": dims.match_dim(ex["match_info"]),
         "outcome": dims.outcome_dim(spark),
-        "performance": dims.performance_for_load(perf),
+        "performance": dims.performance_for_load(complete),
     }
 
 
@@ -99,8 +110,9 @@ def run(spark: SparkSession, landed: Landed, db: str, location: str | None = Non
     """One hourly run: extract, transform, load; then train when ``model_dir``
     is given. Returns the rows appended per table (and the tuning result)."""
     ex = extract(spark, landed, mode)
-    appended = load(spark, transform(spark, ex), db, location)
-    out = {"appended": appended, "rejects": ex["rejects"].count()}
+    tables = transform(spark, ex)
+    appended = load(spark, tables, db, location)
+    out = {"appended": appended, "rejects": ex["rejects"].count(), "incomplete": tables["incomplete"].count()}
     if model_dir:
         result = train(spark, db, f"{model_dir.rstrip('/')}/features.parquet",
                        f"{model_dir.rstrip('/')}/model", seed)
@@ -115,7 +127,7 @@ def main(argv=None) -> dict:
 
     p = argparse.ArgumentParser(description="hourly match-telemetry load")
     for name in ("roster", "profiles", "feeds", "summoners", "timelines", "details",
-                 "champions"):
+                 "champions", "headers"):
         p.add_argument(f"--{name}", required=True, help=f"landed {name} (JSON)")
     p.add_argument("--db", required=True)
     p.add_argument("--location", default=None, help="database folder (shared storage)")
@@ -125,7 +137,7 @@ def main(argv=None) -> dict:
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("matchforge-hourly").getOrCreate()
     landed = Landed(a.roster, a.profiles, a.feeds, a.summoners, a.timelines, a.details,
-                    a.champions)
+                    a.champions, a.headers)
     out = run(spark, landed, a.db, a.location, a.mode, a.model_dir, a.seed)
     print(json.dumps(out, default=str))
     return out

@@ -23,6 +23,8 @@ from matchforge.operators.joins import (fk_orphans, inner_lookup, left_enrich, o
 from matchforge.operators.load import append_if_absent, write_csv
 from matchforge.operators.project import drop_cols, rename, select_as
 from matchforge.plans import fixture_views as V
+from matchforge.plans.checked import CHECKED
+from matchforge.plans.landed import LANDED
 from matchforge.session import scratch_path
 from matchforge.sources.documents import kv_wide
 from matchforge.sources.files import literal_table, read_csv_text
@@ -372,7 +374,7 @@ def model_score(spark, sf_dir, seed: int = 7):
     requests = table.select("match_id", "puuid", "outcome_id",
                             F.to_json(F.struct(*features)).alias("request"))
     rows = parse_requests(requests, "request", features)
-    return score(model, rows, keep=["match_id", "puuid", "outcome_id"])
+    return score(model, rows, keep=["match_id", "puuid", "outcome_id"], features=features)
 
 
 # -- star schema load ---------------------------------------------------------------
@@ -492,4 +494,4 @@ def queries() -> dict[str, Builder]:
         "model_score": model_score,
         "incremental_load": incremental_load,
         "star_load": star_load,
-    }
+    } | {f.__name__: f for f in (*LANDED, *CHECKED)}

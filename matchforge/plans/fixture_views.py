@@ -236,7 +236,7 @@ def timeline_documents(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
     return ev.select(
         F.struct(F.col("match_id").alias("matchId"), slots.alias("participants"))
         .alias("metadata"),
-        F.struct(F.lit(420).alias("queueId"), frames.alias("frames")).alias("info"))
+        F.struct(frames.alias("frames")).alias("info"))
 
 
 def nested_event_counts(events: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:

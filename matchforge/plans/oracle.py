@@ -241,7 +241,7 @@ SELECT page_id,
          AS h1,
        CASE WHEN coalesce(list_position(ks, 'title'), 0) > 0
             THEN vs[list_position(ks, 'title')] END AS title
-FROM s WHERE len(ks) > 0
+FROM s
 """,
     "union_missing_columns": """
 SELECT s_suppkey AS key, s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal,
@@ -274,3 +274,8 @@ FROM (SELECT match_id, CAST(puuid AS VARCHAR) AS summoner_id,
       FROM perf)
 """,
 }
+
+from matchforge.plans.checked import checked_sql  # noqa: E402
+from matchforge.plans.landed import LANDED_SQL  # noqa: E402
+
+ORACLE_SQL |= LANDED_SQL | checked_sql(_TL, _PERF_SELECT)

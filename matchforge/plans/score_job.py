@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from matchforge.operators.load import load_model
-from matchforge.operators.model import parse_requests, score
+from matchforge.operators.model import parse_requests, score, split_requests
 
 
 def model_features(model) -> list[str]:
@@ -27,7 +27,13 @@ def score_requests(spark: SparkSession, model_path: str, requests: str,
     model = load_model(model_path)
     features = list(features or model_features(model))
     lines = spark.read.text(requests)
-    return score(model, parse_requests(lines, "value", features), keep=features)
+    return score(model, parse_requests(lines, "value", features), keep=features, features=features)
+
+
+def rejected_requests(spark: SparkSession, model_path: str, requests: str) -> DataFrame:
+    """Batch: the JSON lines under ``requests`` that cannot be scored."""
+    features = model_features(load_model(model_path))
+    return split_requests(parse_requests(spark.read.text(requests), "value", features), features)[1].select("value")
 
 
 def main(argv=None):
@@ -38,6 +44,7 @@ def main(argv=None):
     p.add_argument("--model", required=True)
     p.add_argument("--requests", required=True, help="folder of JSON lines")
     p.add_argument("--out", required=True, help="parquet output folder")
+    p.add_argument("--rejects", default=None, help="folder for the requests that cannot be scored")
     p.add_argument("--stream", action="store_true", help="process new files incrementally")
     p.add_argument("--checkpoint", default=None, help="stream checkpoint (shared folder)")
     a = p.parse_args(argv)
@@ -51,6 +58,8 @@ def main(argv=None):
         q.awaitTermination()
     else:
         score_requests(spark, a.model, a.requests).write.mode("overwrite").parquet(a.out)
+        if a.rejects:
+            rejected_requests(spark, a.model, a.requests).write.mode("overwrite").text(a.rejects)
     return a.out
 
 

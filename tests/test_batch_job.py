@@ -24,19 +24,21 @@ def _land(workdir):
     summoners = G.write_lines(f"{workdir}/summoners.json", [
         {"account_name": "acc1", "puuid": "A2"}, {"account_name": "acc6", "puuid": "A7"},
         {"account_name": "nobody", "puuid": "Z9"}])
-    # a normal-queue match of a tracked player: ignored by the ranked filter
-    other = json.loads(json.dumps(G.M1))
-    other["metadata"]["matchId"] = "N1"
-    other["info"]["queueId"] = 400
-    timelines = G.write_lines(f"{workdir}/timelines.json", G.TIMELINES + [other])
+    # later matches of the tracked players: N1 in another queue, which does not
+    # count; O1 earlier than M1, so M1 stays the latest; M1 landed twice
+    other, old = (json.loads(json.dumps(G.M1)) for _ in range(2))
+    other["metadata"]["matchId"], old["metadata"]["matchId"] = "N1", "O1"
+    timelines = G.write_lines(f"{workdir}/timelines.json", G.TIMELINES + [other, old, G.M1])
+    headers = G.write_lines(f"{workdir}/headers.json", [
+        {"puuid": p, "match_id": m, "queue_id": q, "started_at": t}
+        for p in ("A2", "A7", "Z9") for m, q, t in (("M1", 420, 50), ("N1", 400, 90), ("O1", 420, 10))])
     with open(timelines, "a") as f:
         f.write('{"metadata": {"matchId": "BROKEN", \n')      # a truncated record
     details = G.write_lines(f"{workdir}/details.json", G.DETAILS)
     champions = dump("catalog", {"data": {
         "X": {"key": "11", "name": "Eleven", "info": {"attack": 1, "defense": 2, "magic": 3}},
-        "Y": {"key": "22", "name": "TwentyTwo", "info": {"attack": 3, "defense": 2, "magic": 1}},
-        "Z": {"key": "0", "name": "None", "info": {"attack": 0, "defense": 0, "magic": 0}}}})
-    return B.Landed(roster, profiles, feeds, summoners, timelines, details, champions)
+        "Y": {"key": "22", "name": "TwentyTwo", "info": {"attack": 3, "defense": 2, "magic": 1}}}})
+    return B.Landed(roster, profiles, feeds, summoners, timelines, details, champions, headers)
 
 
 def test_extract_transform_load_twice(spark, workdir):
@@ -83,8 +85,8 @@ def test_scoring_stream(spark, workdir):
 
 
 def test_hourly_star_stream(spark, workdir):
-    """Dimensions by the batch job, then timelines arriving in two waves are
-    appended by the stream; a rerun over the same landing adds nothing."""
+    """Dimensions by the batch job, then timelines arriving in waves are
+    appended by the stream; a match without its detail waits for it."""
     import os
 
     from matchforge.streaming.incremental import start_hourly_star_load
@@ -98,7 +100,11 @@ def test_hourly_star_stream(spark, workdir):
     os.makedirs(landing)
     G.write_lines(f"{landing}/wave1.json", [G.M1])
     ckpt = f"{workdir}/star_ckpt"
-    q = start_hourly_star_load(spark, landing, ex["details"], ex["players"], db, ckpt)
+    players = ex["players"].select("puuid")
+    details = f"{workdir}/dt_landing"
+    os.makedirs(details)
+    G.write_lines(f"{details}/d1.json", G.DETAILS)
+    q = start_hourly_star_load(spark, landing, details, players, db, ckpt)
     q.awaitTermination()
     spark.catalog.refreshTable(f"{db}.performance")
     assert spark.table(f"{db}.performance").count() == 2
@@ -106,14 +112,21 @@ def test_hourly_star_stream(spark, workdir):
     m5["metadata"]["matchId"] = "M5"
     # M1 again (skipped), M3 (no tracked summoner), M5 new for the same players
     G.write_lines(f"{landing}/wave2.json", [G.M1, G.M3, m5])
-    q = start_hourly_star_load(spark, landing, ex["details"], ex["players"], db, ckpt)
+    q = start_hourly_star_load(spark, landing, details, players, db, ckpt)
+    q.awaitTermination()
+    spark.catalog.refreshTable(f"{db}.performance")
+    assert {r.match_id for r in spark.table(f"{db}.performance").collect()} == {"M1"}  # M5's detail is late
+    m5_detail = dict(G.DETAILS[0], match_id="M5")
+    G.write_lines(f"{details}/d2.json", [m5_detail, m5_detail])
+    G.write_lines(f"{landing}/wave3.json", [G.M2])
+    q = start_hourly_star_load(spark, landing, details, players, db, ckpt)
     q.awaitTermination()
     spark.catalog.refreshTable(f"{db}.performance")
     spark.catalog.refreshTable(f"{db}.match")
     assert sorted(r.match_id for r in spark.table(f"{db}.match").collect()) == ["M1", "M5"]
     perf = spark.table(f"{db}.performance").collect()
     assert sorted(r.performance_id for r in perf) == [1, 2, 3, 4]
-    assert {r.champion_id for r in perf if r.match_id == "M5"} == {0}
+    assert sorted(r.champion_id for r in perf if r.match_id == "M5") == [11, 22]
 
 
 def test_hourly_star_stream_sees_its_own_earlier_batches(spark, workdir):
@@ -132,7 +145,7 @@ def test_hourly_star_stream_sees_its_own_earlier_batches(spark, workdir):
     os.makedirs(landing)
     G.write_lines(f"{landing}/a.json", [G.M1])
     G.write_lines(f"{landing}/b.json", [G.M1])
-    q = start_hourly_star_load(spark, landing, ex["details"], ex["players"], db,
+    q = start_hourly_star_load(spark, landing, landed.details, ex["players"].select("puuid"), db,
                                f"{workdir}/ck2", max_files_per_trigger=1)
     q.awaitTermination()
     assert len(q.recentProgress) >= 2
@@ -143,7 +156,8 @@ def test_hourly_star_stream_sees_its_own_earlier_batches(spark, workdir):
 def test_command_line_run(spark, workdir):
     landed = _land(workdir)
     args = []
-    for name in ("roster", "profiles", "feeds", "summoners", "timelines", "details", "champions"):
+    for name in ("roster", "profiles", "feeds", "summoners", "timelines", "details", "champions",
+                 "headers"):
         args += [f"--{name}", getattr(landed, name)]
     out = B.main(args + ["--db", "mf_cli_test", "--location", f"{workdir}/clidb"])
     assert out["appended"]["performance"] == 2 and out["rejects"] == 1

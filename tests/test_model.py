@@ -72,10 +72,40 @@ def test_score_job_batch_and_stream(spark, workdir):
     with open(f"{workdir}/req/r.json", "w") as f:
         for a in (0.0, 2.0, -2.0):
             f.write(json.dumps({"a": a, "b": 10.0, "c": -2.0, "const": 7}) + "\n")
+        f.write('garbage\n{"a": 1.0}\n')
     score_job.main(["--model", f"{workdir}/m", "--requests", f"{workdir}/req",
-                    "--out", f"{workdir}/out"])
+                    "--out", f"{workdir}/out", "--rejects", f"{workdir}/bad"])
     got = spark.read.parquet(f"{workdir}/out").collect()
-    assert len(got) == 3 and {r.predicted for r in got} <= {"win", "loss"}
+    assert len(got) == 5 and sorted(str(r.predicted) for r in got if r.b is None) == ["None", "None"]
+    assert {r.predicted for r in got if r.b is not None} <= {"win", "loss"}
+    assert sorted(r.value for r in spark.read.text(f"{workdir}/bad").collect()) == ['garbage', '{"a": 1.0}']
     score_job.main(["--model", f"{workdir}/m", "--requests", f"{workdir}/req",
                     "--out", f"{workdir}/out_s", "--stream", "--checkpoint", f"{workdir}/ck"])
-    assert spark.read.parquet(f"{workdir}/out_s").count() == 3
+    assert spark.read.parquet(f"{workdir}/out_s").count() == 5
+
+
+def test_equal_rows_are_dealt_over_all_folds(spark):
+    from matchforge.operators.model import cross_validate, with_folds
+    rows = [(1.0, 0)] * 90 + [(2.0, 1)] * 91
+    df = spark.createDataFrame(rows, "a DOUBLE, outcome_id INT")
+    sizes = {(r.outcome_id, r._fold): r["count"] for r in with_folds(df).groupBy("outcome_id", "_fold").count().collect()}
+    assert sizes == {(0, 0): 30, (0, 1): 30, (0, 2): 30, (1, 0): 31, (1, 1): 30, (1, 2): 30}
+    scores = cross_validate(df, [0.0, 1.0])
+    assert scores[0.0] is None and scores[1.0] == 1.0
+
+
+def test_a_score_that_is_not_finite_never_wins():
+    import pytest
+
+    from matchforge.operators.model import best_candidate
+    assert best_candidate({0.0: None, 0.5: float("nan"), 1.0: 0.6, 2.0: 0.6}) == 1.0
+    with pytest.raises(ValueError):
+        best_candidate({0.5: float("nan")})
+
+
+def test_rows_with_nulls_are_left_out_and_counted(spark):
+    _, _, df = _data(spark, n=90)
+    bad = spark.createDataFrame([(None, 1.0, 1.0, 7, 1), (1.0, 1.0, 1.0, 7, None)], df.schema)
+    whole, with_bad = (tune_and_fit(x, candidates=[1.0], seed=1) for x in (df, df.unionByName(bad)))
+    assert with_bad.incomplete == 2 and whole.incomplete == 0
+    assert np.allclose(whole.model.stages[-1].coefficients.toArray(), with_bad.model.stages[-1].coefficients.toArray())

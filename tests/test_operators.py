@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 from matchforge.operators.dims import match_dim, outcome_dim, role_dim, summoner_dim
-from matchforge.operators.filters import (at_least, before, in_region, ranked_solo,
+from matchforge.operators.filters import (before, in_region, ranked_solo,
                                           same_value, split_rejects)
 from matchforge.operators.joins import fk_orphans, outer_chain, row_count_at_most, sized_broadcast
 from matchforge.operators.load import write_csv, write_parquet
-from matchforge.operators.project import (cast_int, drop_cols, features_without, keep,
+from matchforge.operators.project import (cast_int, drop_cols, features_without,
                                           name_positionally, rename, select_as)
 from matchforge.sources.files import literal_table, read_csv_text, read_parquet, read_table
 
@@ -20,7 +20,6 @@ def test_projection_helpers(spark):
     assert drop_cols(df, "_c0", "style").columns == ["t", "v"]
     assert rename(df, {"t": "timestamp"}).columns == ["_c0", "timestamp", "v"]
     assert name_positionally(df, "a", "b", "c").columns == ["a", "b", "c"]
-    assert keep(df, ["v"]).columns == ["v"]
     assert features_without(df, "v") == ["_c0", "t"]
 
 
@@ -29,7 +28,6 @@ def test_filters_and_rejects(spark):
                                 (3, None, 599999, 420, "EUW")],
                                "k INT, m INT, ts LONG, queueId INT, region STRING")
     assert before(df, "ts", 600100).count() == 2
-    assert at_least(df, "ts", 600000).count() == 2
     assert same_value(df, "k", "m").count() == 1
     assert ranked_solo(df).count() == 2
     assert in_region(df, "EUW").count() == 2 and in_region(df, None).count() == 3
