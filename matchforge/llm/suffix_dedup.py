@@ -11,12 +11,15 @@ The rounds of a collection are as many as its longest string has symbols, so
 whole documents would need one pass over the corpus per character. The corpus is
 cut instead so that no pair of equal 50-byte strings is lost:
 
-* The *anchor* of a 50-byte string is the least hash of its 16-byte strings.
+* The *anchor* of a 50-byte string is the least hash of its 24-byte strings.
   Equal strings have equal anchors, so strings of different anchors never need
   comparing. Neighbouring strings mostly share an anchor: a *piece* is a run of
-  at most ``RUN`` of them, some 50 to 84 bytes, and the pieces of one anchor are
+  at most ``RUN`` of them, some 50 to 76 bytes, and the pieces of one anchor are
   a collection of short strings.
-* Anchors of one document only have no pair; their pieces are left out.
+* Anchors of one document only have no pair; their pieces are left out. A
+  document whose whole text a smaller one has is removed as such, and no string
+  of it is needed to judge others.
+* An anchor with one distinct piece has nothing to sort.
 
 Documents are packed into *blocks*. Blocks, anchors, pieces and results move
 through Spark's shuffle and staged files, sorted by anchor; they are the external
@@ -41,16 +44,18 @@ from matchforge.llm.common import bucketed, by_bytes, id_text, ship, shuffle_par
 from matchforge.llm.words import mix
 
 LENGTH = 50
-GRAM = 16
-RUN = 35
+GRAM = 24
+RUN = 27
 BLOCK_BYTES = 2 << 20
 HOLD = 2 << 20
 LEAST_ID = -(1 << 63)  # stands for a null id, which is before all others
 
-BLOCKS = "block long, ids array<long>, sizes array<int>, txt binary"
+BLOCKS = "block long, ids array<long>, sizes array<int>, h1 array<long>, h2 array<long>, txt binary"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from xxhash import xxh64_intdigest
+
     part, n = TaskContext.get().partitionId(), 0
     for batch in by_bytes(batches, step=BLOCK_BYTES):
         texts = batch.column("txt").fill_null("").cast(pa.binary())
@@ -58,8 +63,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = lambda x, t: pa.array([x], type=t)
         yield pa.RecordBatch.from_arrays(
             [one((part << 33) + n, pa.int64()), one(batch.column("id").fill_null(LEAST_ID).to_pylist(), pa.list_(pa.int64())),
-             one([len(x) for x in data], pa.list_(pa.int32())), one(b"".join(data), pa.binary())],
-            ["block", "ids", "sizes", "txt"])
+             one([len(x) for x in data], pa.list_(pa.int32())),
+             *(one(np.array([xxh64_intdigest(x, s) for x in data], dtype=np.uint64).view(np.int64), pa.list_(pa.int64())) for s in (1, 2)),
+             one(b"".join(data), pa.binary())], ["block", "ids", "sizes", "h1", "h2", "txt"])
         n += 1
 
 
@@ -80,8 +86,10 @@ def runs_of(text: bytes, sizes: np.ndarray, length: int = LENGTH, step: int = 1
         b = min(a + step, len(text))
         part = data[a:b + length + 8]
         w = loads(part)
-        h = mix(w[:b - a + length - 8 - GRAM + 8] ^ mix(w[8:b - a + length - GRAM + 8]))
-        m, span = h, 1
+        grams = b - a + length - GRAM
+        m, span = np.zeros(grams, dtype=np.uint64), 1
+        for k in range(0, GRAM, 8):
+            m = mix(m ^ w[k:k + grams])
         while span * 2 <= window:
             m = np.minimum(m[:-span], m[span:])
             span *= 2
@@ -124,6 +132,14 @@ def _sizes(batch, i: int) -> np.ndarray:
     return batch.column("sizes")[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _copies(batch, i: int) -> np.ndarray:
+    """Which documents of a block are whole copies of a smaller one."""
+    out, at = np.zeros(len(batch.column("ids")[i].values), dtype=bool), batch.column("copies")[i]
+    if at.is_valid:
+        out[at.values.to_numpy(zero_copy_only=False)] = True
+    return out
+
+
 def _anchors(parts: int, length: int):
     """Each block's anchors, dealt out by anchor: six bytes each, those that
     two documents of the block share first."""
@@ -131,6 +147,8 @@ def _anchors(parts: int, length: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 _, _, anchor, doc = runs_of(batch.column("txt")[i].as_py(), _sizes(batch, i), length)
+                own = ~_copies(batch, i)[doc]
+                anchor, doc = anchor[own], doc[own]
                 order = np.lexsort((doc, anchor))
                 anchor, doc = anchor[order], doc[order]
                 first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]]) if len(anchor) else anchor
@@ -189,7 +207,7 @@ def _pieces(length: int):
                 start, n, anchor, doc = runs_of(text, _sizes(batch, i), length)
                 if not len(start) or not len(shared):
                     continue
-                keep = shared[np.minimum(np.searchsorted(shared, anchor), len(shared) - 1)] == anchor
+                keep = (shared[np.minimum(np.searchsorted(shared, anchor), len(shared) - 1)] == anchor) & ~_copies(batch, i)[doc]
                 start, n, anchor, doc = start[keep], n[keep], anchor[keep], doc[keep]
                 key = keys_of(text, start, n, length)
                 order = np.argsort(key, kind="stable")
@@ -298,14 +316,22 @@ def _solve(length: int):
         get = lambda c: rows.column(c).to_numpy()
         lo = np.full(len(d.dictionary), np.iinfo(np.int64).max)
         np.minimum.at(lo, code, get("lo"))
-        least = least_of(d.dictionary.to_pylist(), lo, length)
-        n = np.array([len(x) for x in least], dtype=np.int64)
-        flat = np.concatenate(least)
-        string = np.repeat(np.arange(len(n)), n)
-        at = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-        change = np.r_[True, (flat[1:] != flat[:-1]) | (string[1:] != string[:-1])]
-        flat, string, at = flat[change], string[change], at[change]
-        begin = np.searchsorted(string, np.arange(len(n) + 1))
+        anchor = np.zeros(len(lo), dtype=np.int64)
+        anchor[code] = get("anchor")
+        _, of, count = np.unique(anchor, return_inverse=True, return_counts=True)
+        alone = np.flatnonzero(count[of] == 1)  # one least id for all its strings
+        flat, string, at = lo[alone], alone, np.zeros(len(alone), dtype=np.int64)
+        rest = np.flatnonzero(count[of] > 1)
+        if len(rest):
+            least = least_of(d.dictionary.take(pa.array(rest)).to_pylist(), lo[rest], length)
+            n = np.array([len(x) for x in least], dtype=np.int64)
+            f, s = np.concatenate(least), np.repeat(rest, n)
+            k = np.arange(len(f)) - np.repeat(np.cumsum(n) - n, n)
+            change = np.r_[True, (f[1:] != f[:-1]) | (s[1:] != s[:-1])]
+            flat, string, at = np.r_[flat, f[change]], np.r_[string, s[change]], np.r_[at, k[change]]
+            order = np.argsort(string, kind="stable")
+            flat, string, at = flat[order], string[order], at[order]
+        begin = np.searchsorted(string, np.arange(len(lo) + 1))
         low = np.minimum.reduceat(flat, begin[:-1])
         use = np.flatnonzero(low[code] < get("hi"))  # else no holder in the block has a smaller one
         each = (begin[1:] - begin[:-1])[code[use]]
@@ -371,6 +397,7 @@ def _removed(length: int):
                     np.add.at(gone, (start[which] + stop + length - 1)[smaller], -1)
                 gone = np.cumsum(gone[:-1]) > 0
                 edge = np.cumsum(sizes) - sizes
+                gone |= np.repeat(_copies(batch, i) & (sizes >= length), sizes)
                 rows = []
                 keep = np.frombuffer(text, dtype=np.uint8)
                 for a, m, x in zip(edge.tolist(), sizes.tolist(), ids.tolist()):
@@ -401,6 +428,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = shuffle_parts(spark)
     # Bucketed by block: the two joins below do not move the texts again.
     blocks = bucketed(id_text(docs, id_col, text_col).mapInArrow(_blocks, BLOCKS), "blocks", "block", parts)
+    listed = blocks.select("block", F.posexplode(F.arrays_zip("ids", "sizes", "h1", "h2")).alias("at", "d")).select("block", "at", "d.*")
+    least = listed.groupBy("h1", "h2", "sizes").agg(F.min("ids").alias("least"), F.max("ids").alias("most")).where("least < most")
+    copies = bucketed(listed.join(least, ["h1", "h2", "sizes"]).where("ids > least").groupBy("block").agg(
+        F.collect_list("at").alias("copies")), "copies", "block", parts)  # of a block's own documents
+    blocks = blocks.select("block", "ids", "sizes", "txt").join(copies, "block", "left")
     anchors = blocks.mapInArrow(_anchors(parts, length), "home long, block long, many long, anchors binary")
     shared = (anchors.repartition(parts, "home").mapInArrow(_shared, "block long, shared binary")
               .groupBy("block").agg(F.collect_list("shared").alias("shared")))  # a block's own anchors at most
