@@ -50,11 +50,11 @@ def performance_table(spark, sf_dir):
 
 
 def performance_union_agg(spark, sf_dir):
-    """The union-aggregate rewrite, chosen after its preconditions (unique,
-    non-null keys in every non-aggregated input) are checked."""
+    """The union-aggregate rewrite; its own aggregation checks that every input
+    is unique on the key."""
     r = _ref(spark, sf_dir)
     return facts.performance(r["champion"], r["kd"], r["scores"], r["wards"],
-                             r["outcomes"], V.VIEW_CUTOFFS, strategy="auto")
+                             r["outcomes"], V.VIEW_CUTOFFS, strategy="union")
 
 
 def performance_single_pass(spark, sf_dir):
@@ -94,7 +94,8 @@ def match_outcome(spark, sf_dir):
 
 def duration_minutes(spark, sf_dir):
     from matchforge.operators.dims import match_dim
-    return match_dim(_ref(spark, sf_dir)["match_info"])
+    tl = V.timeline_view(_t(spark, sf_dir, "events"))
+    return match_dim(V.long_matches(tl).select("match_id", "duration"))
 
 
 # -- roster, links, casts, projections -----------------------------------------

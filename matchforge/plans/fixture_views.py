@@ -22,9 +22,8 @@ Winning team = 100 when the day's last event has an even ``k``, else 200.
 
 A day spans 24 hours instead of a match's ~30 minutes, so the time cutoffs are
 scaled by 60: snapshot and minimum duration at 36,000,000 ms, events before
-36,006,000 ms. Days are the match key, so a per-match table has at most one
-row per calendar day in the data: broadcasting it is bounded by the date span,
-not by the data volume.
+36,006,000 ms. Per-match tables are staged and broadcast only if that copy is
+proven small.
 """
 
 from __future__ import annotations
@@ -34,6 +33,8 @@ from pyspark.sql import functions as F
 
 from matchforge.functions.scalar import day_key, offset_ms_since_day, win_loss
 from matchforge.operators.aggregates import first_at_or_after, first_wins
+from matchforge.operators.joins import sized_broadcast
+from matchforge.staging import stage
 from matchforge.params import BLUE_TEAM, DEFAULT_CUTOFFS, RED_TEAM
 
 VIEW_CUTOFFS = DEFAULT_CUTOFFS.scaled(60)
@@ -73,11 +74,15 @@ def long_matches(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
     return match_stats(tl).filter(F.col("duration") >= cutoffs.min_duration)
 
 
-def in_long_matches(df: DataFrame, tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
-    """Drop rows of matches shorter than the minimum duration (semi-join with
-    the per-day table; bounded by the date span, so broadcast)."""
-    return df.join(F.broadcast(long_matches(tl, cutoffs).select("match_id")),
-                   ["match_id"], "left_semi")
+def staged_matches(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
+    """The per-match table, computed once; broadcast in joins only if that copy
+    is proven small."""
+    return sized_broadcast(stage(long_matches(tl, cutoffs), "matches"))
+
+
+def in_long_matches(df: DataFrame, matches: DataFrame) -> DataFrame:
+    """Rows of long-enough matches."""
+    return df.join(matches.select("match_id"), ["match_id"], "left_semi")
 
 
 def attributed_events(tl: DataFrame, *extra: str) -> DataFrame:
@@ -118,11 +123,10 @@ def champion_rows(tl: DataFrame) -> DataFrame:
     return first.select("match_id", "puuid", F.col("k").alias("champion_id"))
 
 
-def outcome_rows(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
+def outcome_rows(tl: DataFrame, matches: DataFrame) -> DataFrame:
     """(match_id, puuid, outcome) for every player of every long match."""
     pairs = tl.groupBy("match_id", "puuid").agg(F.max("pos").alias("pos"))
-    teams = F.broadcast(long_matches(tl, cutoffs).select("match_id", "winning_team"))
-    return pairs.join(teams, ["match_id"], "inner").select(
+    return pairs.join(matches.select("match_id", "winning_team"), ["match_id"], "inner").select(
         "match_id", "puuid", win_loss("winning_team", "pos").alias("outcome"))
 
 
@@ -133,17 +137,19 @@ def reference_tables(spark: SparkSession, sf_dir: str, cutoffs=VIEW_CUTOFFS) ->
 
 
 def reference_tables_from(events: DataFrame, cutoffs=VIEW_CUTOFFS) -> dict:
-    tl = timeline_view(events)
-    ev = attributed_events(tl)
     from matchforge.operators.flatten import kill_rows, ward_rows
+    view = timeline_view(events)
+    matches = staged_matches(view, cutoffs)
+    tl = stage(in_long_matches(view, matches), "timeline")  # restricted once, read by all six
+    ev = attributed_events(tl)
     return {
         "tl": tl,
-        "wards": in_long_matches(ward_rows(ev), tl, cutoffs),
-        "kd": in_long_matches(kill_rows(ev), tl, cutoffs),
-        "scores": in_long_matches(snapshot_rows(tl, cutoffs), tl, cutoffs),
-        "champion": in_long_matches(champion_rows(tl), tl, cutoffs),
-        "outcomes": outcome_rows(tl, cutoffs),
-        "match_info": long_matches(tl, cutoffs).select("match_id", "duration"),
+        "wards": ward_rows(ev),
+        "kd": kill_rows(ev),
+        "scores": snapshot_rows(tl, cutoffs),
+        "champion": champion_rows(tl),
+        "outcomes": outcome_rows(tl, matches),
+        "match_info": matches.select("match_id", "duration"),
     }
 
 
@@ -153,9 +159,10 @@ def performance_single_pass(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
     One ``groupBy(match_id, puuid)`` computes every per-player part: the three
     counts as ``count_if`` with the same predicates the row tables use, the
     chosen champion and the snapshot as ``min_by``, and the player's last
-    event. A second, small aggregate over those per-player rows gives each
-    match's duration and winning team; it has one row per day, so it is
-    broadcast back. Same rows as the six-input chain.
+    event. Those per-player rows are staged: a second aggregate gives each
+    match's duration and winning team, and both sides of the join back read the
+    copy, so the events are scanned once whatever plan the join gets. Same rows
+    as the six-input chain.
     """
     from matchforge.functions.scalar import encode_outcome
     from matchforge.operators.facts import INT_COLS, PERFORMANCE_COLS
@@ -175,11 +182,12 @@ def performance_single_pass(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
         F.min_by(F.struct("k", "value", "timestamp"), snap_order).alias("snap"),
         F.max("pos").alias("pos"),
         F.max(F.struct(F.col("timestamp"), F.col("event_id"), F.col("k"))).alias("last"))
+    per_player = stage(per_player, "per-player")
     per_match = per_player.groupBy("match_id").agg(F.max("last").alias("last")).select(
         "match_id", F.col("last.timestamp").alias("duration"),
         F.when(F.col("last.k") % 2 == 0, F.lit(BLUE_TEAM)).otherwise(F.lit(RED_TEAM))
         .alias("winning_team")).filter(F.col("duration") >= cutoffs.min_duration)
-    out = per_player.join(F.broadcast(per_match), ["match_id"], "inner").select(
+    out = per_player.join(sized_broadcast(per_match), ["match_id"], "inner").select(
         "match_id", "puuid", "champion_id", "no_kills", "no_deaths",
         F.col("snap.k").alias("gold_at_10"),
         F.floor("snap.value").alias("minions_at_10"),
@@ -190,7 +198,7 @@ def performance_single_pass(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
     return out.select(*PERFORMANCE_COLS).fillna(0, subset=INT_COLS)
 
 
-def timeline_documents(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
+def timeline_documents(tl: DataFrame, cutoffs=VIEW_CUTOFFS, days: DataFrame | None = None) -> DataFrame:
     """Timeline-shaped documents built in-row, one per event (no grouping):
 
       metadata.matchId      = the day
@@ -198,8 +206,7 @@ def timeline_documents(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
                               placeholder ids ('npc-<day>-<slot>') elsewhere
       info.frames           = [the event's frame, a closing frame at the day's
                               duration holding a GAME_END event with the day's
-                              winning team] (both from the per-day table,
-                              bounded by the date span, broadcast)
+                              winning team] (both from the per-day table)
 
     The documents have the landed timeline schema, so the nested operators
     (flatten, attribution, ward and kill rows) run on them unchanged. Several
@@ -207,7 +214,8 @@ def timeline_documents(tl: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
     """
     from matchforge import schemas as S
     ev = attributed_events(tl, "event_id")
-    days = F.broadcast(match_stats(tl).select("match_id", "duration", "winning_team"))
+    if days is None:
+        days = sized_broadcast(stage(match_stats(tl), "match-stats"))
     ev = ev.join(days, ["match_id"], "inner")
     slots = F.transform(F.sequence(F.lit(1), F.lit(10)), lambda i: F.when(
         i == F.col("pos"), F.col("puuid").cast("string")).otherwise(
@@ -263,19 +271,26 @@ def detail_documents(tl: DataFrame) -> DataFrame:
                  .alias("participants")).alias("info"))
 
 
+def player_documents(tl: DataFrame, days: DataFrame) -> DataFrame:
+    """``timeline_documents`` for one event per (match, player), the first: what
+    the headers of a match need, without a document per event."""
+    one = first_wins(tl, ["match_id", "puuid"], ["off", "event_id"])
+    return timeline_documents(one.select(*tl.columns), days=days)
+
+
 def _docs_and_players(events: DataFrame, cutoffs=VIEW_CUTOFFS):
     tl = timeline_view(events)
     players = events.select(F.col("user_id").cast("string").alias("puuid")).distinct()
-    return tl, timeline_documents(tl, cutoffs), players
+    return tl, player_documents(tl, sized_broadcast(stage(match_stats(tl), "match-stats"))), players
 
 
 def nested_match_outcome(events: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
     """(match_id, puuid, outcome) by the nested operators: the last event of
-    each document's last frame gives the winning team. Every document of a
-    match carries the same one, so the rows are made distinct."""
+    each document's last frame gives the winning team. There is one document
+    per (match, player)."""
     from matchforge.operators.flatten import outcome_rows as nested_outcomes
     _, docs, players = _docs_and_players(events, cutoffs)
-    return nested_outcomes(docs, players, cutoffs).distinct()
+    return nested_outcomes(docs, players, cutoffs)
 
 
 def nested_chosen_champion(events: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame:
@@ -284,4 +299,4 @@ def nested_chosen_champion(events: DataFrame, cutoffs=VIEW_CUTOFFS) -> DataFrame
     from matchforge.operators.flatten import chosen_champion, tracked_participants
     tl, docs, players = _docs_and_players(events, cutoffs)
     tracked = tracked_participants(docs, players, cutoffs)
-    return chosen_champion(in_long_matches(detail_documents(tl), tl, cutoffs), tracked)
+    return chosen_champion(in_long_matches(detail_documents(tl), staged_matches(tl, cutoffs)), tracked)

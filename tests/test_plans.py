@@ -25,6 +25,23 @@ def test_single_pass_shuffles_least(spark):
     assert all(p["python_evals"] == 0 for p in (chain, union, single))
 
 
+def test_single_pass_scans_the_events_once(spark):
+    """The per-player rows are staged; the final plan reads no events."""
+    from matchforge.plans.explain import plan_text
+    assert "events.parquet" not in plan_text(C.performance_single_pass(spark, SF_SMALL))
+
+
+def test_union_rejects_an_input_that_repeats_a_key(spark):
+    import pytest
+
+    from matchforge.operators import facts
+    from matchforge.plans import fixture_views as V
+    r = V.reference_tables(spark, SF_SMALL)
+    with pytest.raises(Exception, match="repeats a"):
+        facts.performance_union(r["champion"].unionByName(r["champion"]), r["kd"], r["scores"], r["wards"],
+                                r["outcomes"], V.VIEW_CUTOFFS).collect()
+
+
 def test_scan_prunes_columns_and_pushes_filters(spark):
     from matchforge.plans.explain import plan_text
     text = plan_text(C.roster_online(spark, SF_SMALL))
@@ -45,10 +62,11 @@ def test_no_registered_query_runs_python_per_row(spark):
     """Every lazy catalogue plan stays JVM-side: no Python UDF or pandas
     evaluation node (builders that write first are checked through tests of
     their operators)."""
-    import __spark_entry__ as E
+    from matchforge.plans.checked import CHECKED
+    from matchforge.plans.landed import LANDED
     eager = {"csv_all_string_cast", "append_if_absent", "incremental_load", "star_load",
-             "model_score"}
-    for name, build in E.queries().items():
+             "model_score"} | {f.__name__ for f in (*LANDED, *CHECKED)}
+    for name, build in C.queries().items():
         if name in eager:
             continue
         assert plan_summary(build(spark, SF_SMALL))["python_evals"] == 0, name
