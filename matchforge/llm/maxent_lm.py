@@ -38,9 +38,9 @@ from matchforge.llm.words import codes_of, mix, per_doc, split_words
 BLOCK_BYTES = 4 << 20
 ROWS = 1 << 13
 ROUNDS = 3
-BATCH = 4096
-RATE = 0.25
-BANDS, ENDINGS = 8, 12
+BATCH = 16_384
+RATE = 0.5
+BANDS, ENDINGS = 8, 6
 END_HASH = 0x9E3779B97F4A7C15  # no word hashes are expected to meet it
 FEATURES = 4
 SLICES = 16
@@ -259,8 +259,9 @@ def _score(sent, parts: int, total: int, kinds: int, dense: np.ndarray, log_shar
             base = np.log10((b.count + 1) / (total + kinds + 1))
             at, y = b.contexts(), cls[b.code]
             given = np.empty(len(y))
-            for a in range(0, len(y), 2 * BATCH):
-                given[a:a + 2 * BATCH] = w.log_softmax(at[a:a + 2 * BATCH])[np.arange(len(y[a:a + 2 * BATCH])), y[a:a + 2 * BATCH]]
+            for a in range(0, len(y), BATCH):
+                part = y[a:a + BATCH]
+                given[a:a + BATCH] = w.log_softmax(at[a:a + BATCH])[np.arange(len(part)), part]
             doc = np.repeat(np.arange(len(b.sizes)), b.sizes)
             add = lambda x: np.bincount(doc, weights=x, minlength=len(b.sizes))
             yield pa.RecordBatch.from_arrays(
