@@ -69,5 +69,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                     op8_decontamination, op9_simhash, op10_maxent_lm)} | {"pipeline": corpus_pipeline.run}
 
 
+#: All 50-byte strings of all documents (as hexadecimal text), the smallest
+#: document of each, and the runs that strings of smaller documents cover.
+OP3_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (
+        SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS i FROM d)),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+g AS (SELECT w.doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY w.doc_id ORDER BY i), -100) + 50 AS new
+      FROM w JOIN f USING (s) WHERE least < w.doc_id),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (
+        SELECT doc_id, i, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g) GROUP BY doc_id, run),
+k AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM r
+      UNION ALL SELECT d.doc_id, coalesce(max(b), 0), any_value(len(h) // 2) FROM d LEFT JOIN r USING (doc_id) GROUP BY d.doc_id),
+t AS (SELECT doc_id, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY x, y) AS rest FROM k JOIN d USING (doc_id) GROUP BY doc_id),
+n AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS spans FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+       coalesce(spans, 0) AS n_spans, sha256(unhex(rest)) AS kept_sha256
+FROM d JOIN t USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    """SQL where it can express the operator; the others are tested against
+    brute force."""
+    return {"op3_suffix_dedup": OP3_SQL} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

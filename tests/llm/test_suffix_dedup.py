@@ -77,3 +77,13 @@ def test_odd_rows(odd, none):
     want = brute([(r[0], (r[1] or "").encode()) for r in ODD_ROWS])
     assert result(remove_repeats(odd)) == want
     assert remove_repeats(none).count() == 0
+
+
+def test_sql_agrees(spark, documents):
+    import duckdb
+
+    from matchforge.llm.queries import OP3_SQL, op3_suffix_dedup
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    want = con.execute(f"SELECT doc_id, n_bytes, n_removed, n_spans, kept_sha256 FROM ({OP3_SQL})").fetchall()
+    assert result(op3_suffix_dedup(spark, "/root/testdata/sf0.001")) == sorted(want)
