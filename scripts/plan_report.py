@@ -14,14 +14,16 @@ from pathlib import Path
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-import __spark_entry__ as E  # noqa: E402
+from matchforge.plans.catalog import queries  # noqa: E402
+from matchforge.plans.checked import CHECKED  # noqa: E402
 from matchforge.plans.explain import plan_summary, plan_text  # noqa: E402
+from matchforge.plans.landed import LANDED  # noqa: E402
 from matchforge.session import build_session  # noqa: E402
 
 # Queries whose builders run jobs (writes, fits) before returning; their
 # returned plan is a read of the written result.
 EAGER = {"csv_all_string_cast", "append_if_absent", "incremental_load", "star_load",
-         "model_score"}
+         "model_score"} | {f.__name__ for f in (*LANDED, *CHECKED)}
 DETAIL = ["performance_single_pass", "performance_union_agg", "performance_table",
           "first_wins_dedupe", "roster_online", "ml_features"]
 
@@ -29,7 +31,7 @@ DETAIL = ["performance_single_pass", "performance_union_agg", "performance_table
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
-    qs = E.queries()
+    qs = queries()
     lines = ["# Physical plans", "",
              f"Generated by `scripts/plan_report.py` at `{sf_dir}` (pre-AQE plan tree; AQE may",
              "turn a sort-merge join into a broadcast join at run time and reuses identical",

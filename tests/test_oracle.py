@@ -8,7 +8,9 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from matchforge.plans.catalog import queries
 from matchforge.plans.fixture_views import TABLES
+from matchforge.plans.oracle import ORACLE_SQL
 from tests.conftest import SF_SMALL
 
 SKIP_SLOW = {"model_score", "incremental_load"}
@@ -40,17 +42,17 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(set(E.oracle_sql()) - SKIP_SLOW))
+@pytest.mark.parametrize("key", sorted(set(ORACLE_SQL) - SKIP_SLOW))
 def test_query_matches_oracle(spark, duck, key):
-    got = _canon(E.queries()[key](spark, SF_SMALL).toPandas())
-    want = _canon(duck.execute(E.oracle_sql()[key]).df())
+    got = _canon(queries()[key](spark, SF_SMALL).toPandas())
+    want = _canon(duck.execute(ORACLE_SQL[key]).df())
     assert got[0] == want[0]
     assert got[1] == want[1]
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {"model_score"}
+    assert set(queries()) - set(ORACLE_SQL) == {"model_score"} and set(ORACLE_SQL) <= set(queries())
+    assert set(queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
