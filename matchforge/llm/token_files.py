@@ -44,7 +44,7 @@ STEP = 4 << 20
 #: tokenizer's own splitting always cuts where a chunk begins, except at white
 #: space beyond ASCII, so texts that have such are encoded whole.
 CHUNK = re.compile(r"[ \t\n\v\f\r]*[^ \t\n\v\f\r]+|[ \t\n\v\f\r]+")
-WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍ -  ⁠　﻿]")
+WIDE_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0 ᠎ -‍ -  ⁠　﻿]")
 
 
 def bits_for(vocabulary: int) -> int:
