@@ -39,12 +39,14 @@ HEADER = struct.Struct("<8sIIQQQQ")  # magic, bits, ids per block, ids, document
 BLOCK = 1 << 16
 NO_ID = -(1 << 63)  # stands for a null document id
 STEP = 4 << 20
+MARKS = ".,;:!?"
 
 #: A chunk is white space and what follows up to the next white space. The
 #: tokenizer's own splitting always cuts where a chunk begins, except at white
 #: space beyond ASCII, so texts that have such are encoded whole.
 CHUNK = re.compile(r"[ \t\n\v\f\r]*[^ \t\n\v\f\r]+|[ \t\n\v\f\r]+")
-WIDE_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0 ᠎ -‍ -  ⁠　﻿]")
+WIDE_SPACE = re.compile("[%s]" % "".join(map(chr, [
+    *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200E), *range(0x2028, 0x2030), 0x205F, 0x2060, 0x3000, 0xFEFF])))
 
 
 def bits_for(vocabulary: int) -> int:
@@ -185,19 +187,22 @@ def encode(path: str, texts: list[str | None]) -> list[np.ndarray]:
         d = pa.array([c for x in lists for c in x], type=pa.string()).dictionary_encode()
         del lists
         distinct = d.dictionary.to_pylist()
+        # A mark behind a letter is a token of its own, so "word," shares the cut of "word".
+        base = [c[:-1] if c[-1] in MARKS and c[-2:-1].isalpha() else c for c in distinct]
+        words = list(dict.fromkeys(base))
         memory = _CUTS.setdefault(path, Cuts())
-        cuts = memory.get(distinct)
-        need = [i for i, x in enumerate(cuts) if x is None]
-        words = [distinct[i] for i in need]
+        cuts = dict(zip(words, memory.get(words)))
+        need = [w for w, x in cuts.items() if x is None]
         new: list[bytes] = []
-        for a in range(0, len(words), 50_000):  # as the words of one text, so that one result holds all
-            e = t.encode(words[a:a + 50_000], is_pretokenized=True, add_special_tokens=False)
+        for a in range(0, len(need), 50_000):  # as the words of one text, so that one result holds all
+            e = t.encode(need[a:a + 50_000], is_pretokenized=True, add_special_tokens=False)
             of = np.array(e.word_ids, dtype=np.int64)
-            new += sliced(np.array(e.ids), np.bincount(of, minlength=len(words[a:a + 50_000])))
-        for i, x in zip(need, new):
-            cuts[i] = x
-        memory.put(words, new)
-        out = pooled(cuts, d.indices.to_numpy(zero_copy_only=False), sizes)
+            new += sliced(np.array(e.ids), np.bincount(of, minlength=len(need[a:a + 50_000])))
+        cuts.update(zip(need, new))
+        memory.put(need, new)
+        mark = {c: np.array(t.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes() for c in MARKS}
+        whole = [cuts[b] if len(b) == len(c) else cuts[b] + mark[c[-1]] for b, c in zip(base, distinct)]
+        out = pooled(whole, d.indices.to_numpy(zero_copy_only=False), sizes)
     for i, x in enumerate(texts):
         if x and not sizes[i]:
             out[i] = np.array(t.encode(x, add_special_tokens=False).ids, dtype=np.uint32)
