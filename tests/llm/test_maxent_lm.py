@@ -87,3 +87,27 @@ def test_probabilities_sum_to_one(spark, texts):
 def test_odd_rows(odd, none):
     check_base(L.lm_scores(odd).collect(), [(r[0], r[1]) for r in ODD_ROWS])
     assert L.lm_scores(none).count() == 0
+
+
+def test_endings_of_all_classes_are_told_apart(spark):
+    """Two words whose endings share a class of six but not one of twelve:
+    each is likelier behind its own context."""
+    import zlib
+    kind = {e: zlib.crc32(e.encode()) for e in (a + b for a in "abcdefgh" for b in "abcdefgh")}
+    one, two = next((x, y) for x in kind for y in kind if kind[x] % 6 == kind[y] % 6 and kind[x] % 12 != kind[y] % 12)
+    train = [i for i in range(4000) if not L.held_out(i)]
+    rows = [(i, f"left word{one}" if i % 2 else f"right word{two}") for i in train]
+    own, other = [i for i in range(5000, 6000) if L.held_out(i)][:2]
+    rows += [(own, f"left word{one}"), (other, f"left word{two}")]
+    out = {r["doc_id"]: r["score"] for r in L.lm_scores(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert out[own] > out[other] + 0.1
+
+
+def test_segment_sums_and_log_given():
+    rng = np.random.default_rng(5)
+    g, size = rng.normal(size=(500, 7)).astype(np.float32), np.array([1, 2, 40, 1, 16, 17, 15, 300, 3])
+    who, first = rng.integers(0, 500, size.sum()), np.cumsum(size) - size
+    assert np.allclose(L.sums_of(g, who, first), np.add.reduceat(g[who], first, axis=0), atol=1e-3)
+    w = L.Weights(rng.normal(size=5), rng.normal(size=(L.ROWS, 5)))
+    at, y = rng.integers(0, L.ROWS, (30, L.FEATURES)), rng.integers(0, 5, 30)
+    assert np.allclose(w.log_given(at, y), w.log_softmax(at)[np.arange(30), y], atol=1e-5)
