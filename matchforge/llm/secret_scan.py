@@ -1,6 +1,6 @@
 """Secret scan with a random forest against false positives.
 
-A candidate is a word that holds a run of 16 or more key-like characters. The
+A candidate is a run of 16 or more key-like characters; a word may hold several. The
 forest judges it by its length, its character transitions, how much of it the
 corpus's own words cover, whether it stands in a path, and its neighbouring
 words. It is trained on labelled findings; ``seed_labels`` derives such labels
@@ -36,17 +36,30 @@ FEATURES = ["length", "digit_share", "upper_share", "distinct_share", "class_cha
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, pos, word, before2, before, after, value): every word that holds a
-    key-like run, with its neighbours; a word has its first run as value."""
+    """(id, pos, run, word, before2, before, front, after, value): every key-like
+    run of every word, ``run`` being its place among the word's runs.
+
+    ``word`` is the run with the text up to the runs beside it, ``front`` what of
+    that is in front. The neighbours are the words beside; between the runs of
+    one word they are the runs beside. So a row's size follows its run's, and a
+    word of many runs is not copied for each.
+    """
     words = id_text(docs, id_col, text_col).select("id", F.split(F.coalesce("txt", F.lit("")), SPACE).alias("w"))
-    near = lambda i: F.coalesce(F.get("w", i), F.lit(""))
+    near = lambda a, i: F.coalesce(F.get(a, i), F.lit(""))
     found = words.select("id", F.filter(
         F.transform("w", lambda x, i: F.when(
             (F.octet_length(x) >= 16) & x.rlike(RUN),
-            F.struct(i.cast("int").alias("pos"), x.alias("word"), near(i - 2).alias("before2"),
-                     near(i - 1).alias("before"), near(i + 1).alias("after")))),
+            F.struct(i.cast("int").alias("pos"), x.alias("word"), near("w", i - 2).alias("left2"),
+                     near("w", i - 1).alias("left"), near("w", i + 1).alias("right")))),
         lambda s: s.isNotNull()).alias("c")).where(F.size("c") > 0)
-    return found.select("id", F.inline("c")).withColumn("value", F.regexp_extract("word", RUN, 0))
+    runs = found.select("id", F.inline("c")).select(
+        "id", "pos", "left2", "left", "right", F.regexp_extract_all("word", F.lit(RUN), F.lit(0)).alias("runs"),
+        F.split("word", RUN).alias("gaps"))  # a gap in front of each run and one behind the last
+    return runs.select("id", "pos", F.inline(F.transform("runs", lambda v, i: F.struct(
+        i.cast("int").alias("run"), F.concat(F.get("gaps", i), v, F.get("gaps", i + 1)).alias("word"),
+        F.when(i == 0, F.col("left2")).when(i == 1, F.col("left")).otherwise(near("runs", i - 2)).alias("before2"),
+        F.when(i == 0, F.col("left")).otherwise(near("runs", i - 1)).alias("before"), F.get("gaps", i).alias("front"),
+        F.when(i == F.size("runs") - 1, F.col("right")).otherwise(near("runs", i + 1)).alias("after"), v.alias("value")))))
 
 
 def dictionary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -73,7 +86,8 @@ def featured(found: DataFrame, grams: DataFrame) -> DataFrame:
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "9")
     low = F.lower(v)
     count = lambda c, p: F.regexp_count(c, F.lit(p))
-    context = F.lower(F.concat_ws(" ", "before2", "before", F.call_function("substring_index", F.col("word"), v, F.lit(1))))
+    context = F.lower(F.concat_ws(" ", "before2", "before", "front"))
+    lead = F.concat(F.when(F.col("run") > 0, F.col("before")).otherwise(""), "front")  # of the same word
     return (found.join(covered, "value")
             .withColumn("length", n)
             .withColumn("digit_share", count(v, "[0-9]") / n)
@@ -83,7 +97,7 @@ def featured(found: DataFrame, grams: DataFrame) -> DataFrame:
             .withColumn("vowel_share", count(low, "[aeiou]") / n)
             .withColumn("vowel_changes", count(low, "(?=[aeiou][^aeiou]|[^aeiou][aeiou])") / n)
             .withColumn("in_path", (F.col("word").rlike(r"[/\\].*[/\\]|^https?:|\.[a-z]{2,4}$")).cast("int"))
-            .withColumn("assigned", (F.col("before").rlike("[=:]$") | F.col("word").rlike("[=:][\"']?" + RUN)).cast("int"))
+            .withColumn("assigned", (((F.col("run") == 0) & F.col("before").rlike("[=:]$")) | lead.rlike("[=:]\\\\?[\"']?$")).cast("int"))
             .withColumn("near_key", context.rlike(KEY_WORDS).cast("int"))
             .withColumn("near_other", context.rlike(NOT_WORDS).cast("int"))
             .withColumn("quoted", F.col("word").rlike("[\"']").cast("int"))
@@ -93,12 +107,13 @@ def featured(found: DataFrame, grams: DataFrame) -> DataFrame:
 def seed_labels(found: DataFrame) -> DataFrame:
     """Labelled findings (featured rows plus label): 1 for known key formats
     and for mixed values assigned to a key word, 0 for values of letters or of
-    digits only without a key word. The rest stays unlabelled."""
+    digits only without a key word, and for names (no digits, and a key word
+    inside). The rest stays unlabelled."""
     v, mixed = F.col("value"), F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
     known = v.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^xox[abprs]-|^sk_live_|^AIza[0-9A-Za-z_-]{35}$")
     plain = ~v.rlike("[0-9]") | ~v.rlike("[A-Za-z]")
     label = (F.when(known | ((F.col("near_key") == 1) & (F.col("assigned") == 1) & mixed), 1.0)
-             .when(plain & (F.col("near_key") == 0), 0.0))
+             .when((plain & (F.col("near_key") == 0)) | (~v.rlike("[0-9]") & F.lower(v).rlike(KEY_WORDS)), 0.0))
     return found.withColumn("label", label).where("label is not null")
 
 
@@ -116,8 +131,9 @@ def fit_forest(labelled: DataFrame, rows: int = TRAIN_ROWS):
 
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id",
                  text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """(doc_id, pos, value, score, is_secret): every candidate of every row,
-    pos being its place among the row's white-space separated parts.
+    """(doc_id, pos, run, value, score, is_secret): every candidate of every row,
+    pos being the place of its word among the row's white-space separated parts
+    and run its place among the word's key-like runs.
 
     ``labelled``: findings as ``featured`` gives them, with a label 0 or 1;
     without it, ``seed_labels`` of the documents themselves. If one class has no
@@ -134,7 +150,7 @@ def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, id_col: str
     else:
         scored = forest.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)).withColumn(
             "score", vector_to_array("probability")[1])
-    return scored.select(F.col("id").alias("doc_id"), "pos", "value", "score",
+    return scored.select(F.col("id").alias("doc_id"), "pos", "run", "value", "score",
                          (F.col("score") >= threshold).alias("is_secret"))
 
 
