@@ -2,13 +2,15 @@
 
 The merge agenda of a word always takes the best-scored pair of neighbouring
 symbols, leftmost first. With dropout, a candidate merge (left start, boundary,
-right end) is skipped if a keyed hash of the seed, the word, its variant and
-those three places falls under the dropout rate. The decision belongs to the
-candidate, so a run, a retry and any partitioning give the same pieces.
-
-An occurrence of a word draws one of ``variants`` variants by a keyed hash of
-document id and position: the same word is cut in different ways, and a cut is
-computed once per word and variant. All words of a step go through the agenda
+right end) is skipped if a keyed hash of the seed, the document id, the word's
+position and those three places falls under the dropout rate. The decision
+belongs to the candidate, so a run, a retry and any partitioning give the same
+pieces.
+
+A cut depends on which of the word's candidates are skipped, and on nothing
+else. So a word that a step repeats draws all its candidates first, and each
+word and set of skipped ones is cut once; the other words are cut by
+themselves. All words of a step go through the agenda
 together: one round finds and applies the best allowed merge of every word by
 array operations. Very long words take the agenda one by one with a heap.
 
@@ -38,6 +40,9 @@ LONG = 48  # characters of a word beyond which the heap takes over
 STEP = 4 << 20
 WORDS = re.compile(r"\n| *[^ \n]+| +")
 MASK = (1 << 64) - 1
+OFTEN = 3  # occurrences in a step from which a word's candidates are listed
+LISTED = 60  # candidates of a listed word at most; they are bits of a number
+AT_ONCE = 100_000  # words that are drawn or cut at a time
 
 
 class Model:
@@ -231,8 +236,81 @@ def _bytes(m: Model, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _CUTS: dict[tuple, Cuts] = {}  # of this worker process, by setting
 
 
-def encode(m: Model, texts: list[str | None], ids: np.ndarray, seed: int, rate: float, variants: int) -> list[np.ndarray]:
-    """Piece ids of whole texts (null: none)."""
+_CANDIDATES: dict[tuple[int, str], np.ndarray | None] = {}  # of this worker process
+
+
+def candidates(m: Model, word: str) -> np.ndarray | None:
+    """(left start, boundary, right end) of every merge that any order of merges
+    can offer; None if there are too many to list."""
+    at = (id(m), word)
+    if at not in _CANDIDATES:
+        if len(_CANDIDATES) > 200_000:
+            _CANDIDATES.clear()
+        found = None
+        if len(word) <= LONG // 2 and MARK not in word:
+            s, n = word.replace(" ", MARK), len(word)
+            span = {(a, c) for a in range(n) for c in range(a + 1, n + 1) if s[a:c] in m.symbols}
+            rows = [(a, b, c) for a, c in sorted(span) for b in range(a + 1, c) if (a, b) in span and (b, c) in span]
+            if len(rows) <= LISTED:
+                found = np.array(rows, dtype=np.int64).reshape(-1, 3)
+        _CANDIDATES[at] = found
+    return _CANDIDATES[at]
+
+
+def _skipped(keys: np.ndarray, code: np.ndarray, lists: list[np.ndarray], limit: int) -> np.ndarray:
+    """For each occurrence of listed word ``code`` the bits of its skipped candidates."""
+    count = np.array([len(x) for x in lists], dtype=np.int64)
+    flat, begin = np.concatenate(lists), np.cumsum(count) - count
+    out = np.zeros(len(code), dtype=np.uint64)
+    for lo in range(0, len(code), AT_ONCE):
+        c = code[lo:lo + AT_ONCE]
+        n = count[c]
+        of = np.repeat(np.arange(len(c)), n)
+        inner = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        abc = flat[begin[c][of] + inner]
+        hit = np.flatnonzero(_draw(keys[lo:lo + AT_ONCE][of], abc[:, 0], abc[:, 1], abc[:, 2]) < np.uint64(limit))
+        np.bitwise_or.at(out[lo:lo + AT_ONCE], of[hit], np.uint64(1) << inner[hit].astype(np.uint64))
+    return out
+
+
+def _own_cuts(m: Model, words: list[str], code: np.ndarray, keys: np.ndarray, limit: int) -> tuple[list[bytes], np.ndarray]:
+    """(cuts, number of the cut of each occurrence), every occurrence with its own key."""
+    often = np.bincount(code, minlength=len(words)) >= OFTEN
+    lists = [candidates(m, w) if o else None for w, o in zip(words, often.tolist())]
+    known = np.array([x is not None for x in lists])
+    place = np.cumsum(known) - 1
+    easy, hard = np.flatnonzero(known[code]), np.flatnonzero(~known[code])
+    of = np.zeros(len(code), dtype=np.int64)
+    names: list[str] = []
+    cuts: list[bytes | None] = []
+    first = np.zeros(0, dtype=np.int64)
+    memory = _CUTS.setdefault((id(m),), Cuts())  # by word and skipped candidates, whatever the seed
+    if len(easy):
+        skip = _skipped(keys[easy], place[code[easy]], [x for x in lists if x is not None], limit)
+        order = np.lexsort((skip, code[easy]))
+        c, s = code[easy][order], skip[order]
+        new = np.r_[True, (c[1:] != c[:-1]) | (s[1:] != s[:-1])]
+        of[easy[order]] = np.cumsum(new) - 1
+        first = easy[order[new]]
+        names = [f"{x} {words[i]}" for x, i in zip(s[new].tolist(), c[new].tolist())]
+        cuts = memory.get(names)
+    need = [i for i, x in enumerate(cuts) if x is None]
+    of[hard] = len(cuts) + np.arange(len(hard))
+    at = np.r_[first[need], hard].astype(np.int64)
+    fresh: list[bytes] = []
+    for lo in range(0, len(at), AT_ONCE):
+        x = at[lo:lo + AT_ONCE]
+        fresh += sliced(*cut_words(m, [words[i] for i in code[x].tolist()], keys[x], limit))
+    for i, x in zip(need, fresh):
+        cuts[i] = x
+    memory.put([names[i] for i in need], fresh[:len(need)])
+    return cuts + fresh[len(need):], of
+
+
+def encode(m: Model, texts: list[str | None], ids: np.ndarray, seed: int, rate: float,
+           variants: int | None = None) -> list[np.ndarray]:
+    """Piece ids of whole texts (null: none). With ``variants``, an occurrence
+    draws one of so many cuts of its word instead of its own."""
     from xxhash import xxh64_intdigest
 
     limit = min(int(rate * 2.0**64), MASK)
@@ -245,6 +323,8 @@ def encode(m: Model, texts: list[str | None], ids: np.ndarray, seed: int, rate:
     code = d.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     place = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     drawn = mix(mix(np.repeat(ids.astype(np.uint64), sizes) ^ np.uint64(seed)) ^ place.astype(np.uint64))
+    if variants is None:
+        return pooled(*_own_cuts(m, d.dictionary.to_pylist(), code, drawn, limit), sizes)
     both, of = np.unique(code * variants + (drawn % np.uint64(variants)).astype(np.int64), return_inverse=True)
     names = [f"{v} {w}" for v, w in zip((both % variants).tolist(), d.dictionary.take(pa.array(both // variants)).to_pylist())]
     memory = _CUTS.setdefault((id(m), seed, rate, variants), Cuts())
@@ -275,7 +355,7 @@ def _decoded(m: Model, lists: list[np.ndarray]) -> pa.Array:
     return pa.array([raw[a + 1:b].decode("utf-8", errors="replace") for a, b in zip(at, at[1:])], type=pa.string())
 
 
-def _run(path: str, seed: int, rate: float, variants: int):
+def _run(path: str, seed: int, rate: float, variants: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for batch in by_bytes(batches, step=STEP):
@@ -293,13 +373,13 @@ def _run(path: str, seed: int, rate: float, variants: int):
     return run
 
 
-def encode_documents(docs: DataFrame, path: str, seed: int = 7, rate: float = 0.1, variants: int = 4,
+def encode_documents(docs: DataFrame, path: str, seed: int = 7, rate: float = 0.1, variants: int | None = None,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_pieces, pieces, decoded, lossless) for every row.
 
     ``path`` is a SentencePiece BPE model file that every executor can read.
     Null and empty texts have no pieces and decode to the empty string; a null
-    id draws its variants as id 0; repeated rows get equal pieces; an empty
+    id draws as id 0; repeated rows get equal pieces; an empty
     table gives an empty result.
     """
     ship(docs.sparkSession)

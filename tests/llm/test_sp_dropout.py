@@ -76,3 +76,21 @@ def test_odd_rows(odd, none):
     assert len(out) == len(ODD_ROWS) and out.lossless.all()
     assert out[out.doc_id == 3].n_pieces.tolist() == [0]
     assert S.encode_documents(none, PATH).count() == 0
+
+
+def test_every_occurrence_draws_its_own_merges(model, texts):
+    """A frequent word gets more than four cuts, and each occurrence is what
+    its own key gives."""
+    got = S.encode(model, [" ".join(["understanding"] * 3000)], np.array([5]), 7, 0.1)[0]
+    cut = " ".join(map(str, got.tolist()))
+    assert len({tuple(x.split()) for x in cut.split(str(model.symbols["▁"]))}) > 4
+    some, ids = [*list(texts.values())[:20], *ODD, "the the the the"], np.arange(20 + len(ODD) + 1)
+    limit = int(0.3 * 2**64)
+    for i, (t, a) in enumerate(zip(some, S.encode(model, some, ids, 7, 0.3))):
+        want = []
+        for k, w in enumerate(S.WORDS.findall(" " + t) if t else []):
+            key = S._mix1(S._mix1(i ^ 7) ^ k)
+            want += S._bytes(model, S.agenda(model, w, key, limit))[0].tolist()
+        assert a.tolist() == want and S.decode(model, a) == (t or "")
+    plain = S.encode(model, some, ids, 7, 0.0)
+    assert [x.tolist() for x in plain] == [x.tolist() for x in S.encode(model, some, ids, 7, 0.0, 1)]
