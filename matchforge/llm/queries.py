@@ -16,6 +16,7 @@ from matchforge.llm.quality import BASE, quality_verdicts
 from matchforge.llm.secret_scan import scan_secrets
 from matchforge.llm.sharding import shards_by_bytes
 from matchforge.llm.simhash import simhash_components
+from matchforge.llm.source_audit import source_divergence
 from matchforge.llm.sp_dropout import encode_documents
 from matchforge.llm.suffix_dedup import remove_repeats
 from matchforge.llm.token_files import token_files
@@ -64,9 +65,13 @@ def op10_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_vector_packing, op2_sentencepiece_dropout, op3_suffix_dedup, op4_quality_rules, op5_secret_scan, op6_toxicity, op7_token_files,
-                                    op8_decontamination, op9_simhash, op10_maxent_lm)} | {"pipeline": corpus_pipeline.run}
+                                    op8_decontamination, op9_simhash, op10_maxent_lm, op11_source_divergence)} | {"pipeline": corpus_pipeline.run}
 
 
 #: All 50-byte strings of all documents (as hexadecimal text), the smallest
@@ -90,7 +95,33 @@ FROM d JOIN t USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
 
+#: Counts, shares and divergences of all kept terms in all groups, without postings.
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS txt FROM documents),
+o AS (SELECT lang, source, id, w, count(*) AS n FROM (
+        SELECT lang, source, id, unnest(regexp_extract_all(txt, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM d) GROUP BY ALL),
+k AS (SELECT lang, w, sum(n) AS n FROM o GROUP BY lang, w HAVING count(*) >= 10),
+c AS (SELECT lang, source, w, sum(o.n) AS n FROM o SEMI JOIN k USING (lang, w) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT lang, source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d)
+      LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source)),
+p AS (SELECT g.lang, g.source, k.w, coalesce(c.n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * v) AS p,
+        1 + (1000000000::HUGEINT * (k.n + 2)) // (v.total + 2 * v) AS q
+      FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.w = k.w),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.w = b.w AND a.source < b.source GROUP BY ALL),
+x AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value FROM g a
+      JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = least(a.source, b.source) AND f.item = greatest(a.source, b.source)
+      UNION ALL SELECT lang, source, 'term', w, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM x QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the operator; the others are tested against
     brute force."""
-    return {"op3_suffix_dedup": OP3_SQL} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {"op3_suffix_dedup": OP3_SQL, "op11_source_divergence": OP11_SQL} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
