@@ -18,6 +18,7 @@ from matchforge.llm.sharding import shards_by_bytes
 from matchforge.llm.simhash import simhash_components
 from matchforge.llm.source_audit import source_divergence
 from matchforge.llm.sp_dropout import encode_documents
+from matchforge.llm.spelling_variants import spelling_groups
 from matchforge.llm.suffix_dedup import remove_repeats
 from matchforge.llm.token_files import token_files
 from matchforge.llm.toxicity import toxicity_scores
@@ -69,9 +70,13 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_vector_packing, op2_sentencepiece_dropout, op3_suffix_dedup, op4_quality_rules, op5_secret_scan, op6_toxicity, op7_token_files,
-                                    op8_decontamination, op9_simhash, op10_maxent_lm, op11_source_divergence)} | {"pipeline": corpus_pipeline.run}
+                                    op8_decontamination, op9_simhash, op10_maxent_lm, op11_source_divergence, op12_spelling_variants)} | {"pipeline": corpus_pipeline.run}
 
 
 #: All 50-byte strings of all documents (as hexadecimal text), the smallest
@@ -121,7 +126,33 @@ FROM x QUALIFY part = 'pair' OR rank <= 10
 """
 
 
+#: crc32 by a table of bytes; near words share what is left of them when one
+#: code point is deleted (at the same place, or one of them is that rest).
+OP12_SQL = r"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i::BIGINT], range(8)::BIGINT[]),
+             lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS t),
+o AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w FROM documents)
+      WHERE length(w) >= 6 GROUP BY ALL),
+b AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x FROM o),
+h AS (SELECT w, n, xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT],
+             list_transform(range(len(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))), lambda c, y: xor(c >> 8, t[xor(c & 255, y) + 1]))) AS h FROM b, tab),
+v AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS w, n FROM h),
+words AS (SELECT w AS word, sum(n) AS n FROM v WHERE length(w) >= 6 GROUP BY w HAVING sum(n) >= 5),
+rests AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS r FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other FROM rests a JOIN rests b ON a.r = b.r AND a.i = b.i AND a.word <> b.word
+         UNION SELECT rests.word, w.word FROM rests JOIN words w ON rests.r = w.word
+         UNION SELECT w.word, rests.word FROM rests JOIN words w ON rests.r = w.word),
+top AS (SELECT near.word, count(*) AS n_near, max(w.n) AS top_n FROM near JOIN words w ON w.word = near.other GROUP BY near.word),
+g AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 5 * n THEN top_n END AS form_n FROM words LEFT JOIN top USING (word)),
+f AS (SELECT g.word, min(w.word) AS form FROM g JOIN near USING (word) JOIN words w ON w.word = near.other AND w.n = g.form_n GROUP BY g.word),
+chain AS (SELECT word, word AS root FROM words UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.root),
+last AS (SELECT chain.word, root FROM chain ANTI JOIN f ON f.word = chain.root)
+SELECT word, form, root, CAST(n AS BIGINT) AS n, n_near, CAST(form_n AS BIGINT) AS form_n FROM g LEFT JOIN f USING (word) JOIN last USING (word)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the operator; the others are tested against
     brute force."""
-    return {"op3_suffix_dedup": OP3_SQL, "op11_source_divergence": OP11_SQL} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {"op3_suffix_dedup": OP3_SQL, "op11_source_divergence": OP11_SQL, "op12_spelling_variants": OP12_SQL} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
