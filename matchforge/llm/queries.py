@@ -1,4 +1,4 @@
-"""Queries of the ten operators, each over its whole table, and their SQL."""
+"""Queries of the numbered operators, each over its whole table, and their SQL."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from matchforge.llm.common import table
 from matchforge.llm.decontaminate import leaks
+from matchforge.llm.html_extract import main_text
 from matchforge.llm.maxent_lm import lm_scores
 from matchforge.llm.quality import BASE, quality_verdicts
 from matchforge.llm.secret_scan import scan_secrets
@@ -74,9 +75,14 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages")).drop("path")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_vector_packing, op2_sentencepiece_dropout, op3_suffix_dedup, op4_quality_rules, op5_secret_scan, op6_toxicity, op7_token_files,
-                                    op8_decontamination, op9_simhash, op10_maxent_lm, op11_source_divergence, op12_spelling_variants)} | {"pipeline": corpus_pipeline.run}
+                                    op8_decontamination, op9_simhash, op10_maxent_lm, op11_source_divergence, op12_spelling_variants,
+                                    op13_html_extraction)} | {"pipeline": corpus_pipeline.run}
 
 
 #: All 50-byte strings of all documents (as hexadecimal text), the smallest
@@ -152,7 +158,20 @@ SELECT word, form, root, CAST(n AS BIGINT) AS n, n_near, CAST(form_n AS BIGINT)
 """
 
 
+#: The articles of this table's pages by their tags, without containers and
+#: votes: blocks are what p and h1 tags part.
+OP13_SQL = r"""
+WITH a AS (SELECT row_number() OVER () AS id, page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article|$)', 1, 's') AS x FROM pages),
+b AS (SELECT id, unnest(p) AS y, generate_subscripts(p, 1) AS k FROM (SELECT id, regexp_split_to_array(x, '</?(p|h1)>') AS p FROM a)),
+t AS (SELECT id, k, regexp_replace(replace(y, '<br>', ' '), '<[^>]*(>|$)', '', 'g') AS y FROM b),
+c AS (SELECT id, k, trim(regexp_replace(regexp_replace(regexp_replace(y, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS y FROM t),
+s AS (SELECT id, string_agg(y, chr(10) || chr(10) ORDER BY k) AS text FROM c WHERE y <> '' GROUP BY id)
+SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars FROM a LEFT JOIN s USING (id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the operator; the others are tested against
     brute force."""
-    return {"op3_suffix_dedup": OP3_SQL, "op11_source_divergence": OP11_SQL, "op12_spelling_variants": OP12_SQL} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return {"op3_suffix_dedup": OP3_SQL, "op11_source_divergence": OP11_SQL, "op12_spelling_variants": OP12_SQL,
+            "op13_html_extraction": OP13_SQL} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
