@@ -65,55 +65,3 @@ def start_scoring_stream(spark: SparkSession, model, requests: str, features: Se
     scored = score(model, rows, keep=list(keep) + list(features), features=features)
     return (scored.writeStream.format("parquet").option("path", output)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-
-
-def start_hourly_star_load(spark: SparkSession, timelines_landing: str, details_landing: str,
-                           players: DataFrame, db: str, checkpoint: str,
-                           max_files_per_trigger: int | None = None,
-                           available_now: bool = True) -> StreamingQuery:
-    """New timeline documents landing in a folder -> match and performance
-    rows -> validated append to the star schema, one micro-batch at a time.
-
-    The dimensions (summoners, champions, outcomes...) are loaded by the batch
-    job; each micro-batch adds the matches and performances of its documents.
-    Details are read from their own landing folder in every batch. A timeline
-    whose detail has not landed waits under the checkpoint and is tried again
-    with the next batch; nothing of it is stored before. A replayed micro-batch
-    appends nothing twice and writes the same waiting documents again.
-    """
-    from pyspark.sql import functions as F
-
-    from matchforge import schemas as S
-    from matchforge.operators.dims import match_dim, performance_for_load
-    from matchforge.operators.facts import split_incomplete
-    from matchforge.operators.flatten import match_info, one_per_match, performance_from_timelines
-    from matchforge.operators.load import load_star, read_target
-    from matchforge.staging import drop_staged, stage
-
-    reader = spark.readStream.schema(S.TIMELINE).format("json")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    docs = reader.load(timelines_landing)
-    waiting = f"{checkpoint.rstrip('/')}/waiting"
-
-    def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        session = batch.sparkSession
-        before = read_target(session, f"{waiting}/{epoch_id - 1}") if epoch_id else None
-        new = batch if before is None else batch.unionByName(before)
-        timelines = stage(one_per_match(new, "metadata.matchId"), "batch-timelines")
-        details = stage(one_per_match(session.read.schema(S.MATCH_DETAIL).json(details_landing), "match_id"),
-                        "batch-details")
-        has = F.col("metadata.matchId") == details["match_id"]
-        timelines.join(details.select("match_id"), has, "left_anti").write.mode("overwrite").parquet(f"{waiting}/{epoch_id}")
-        ready = timelines.join(details.select("match_id"), has, "left_semi")
-        perf, _ = split_incomplete(performance_from_timelines(ready, details, players, fill_zero=False))
-        load_star(session, db, {
-            "match": match_dim(match_info(ready, players)),
-            "performance": performance_for_load(perf),
-        })
-        for df in (timelines, details):
-            drop_staged(session, df)
-
-    writer = docs.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start()

@@ -84,75 +84,6 @@ def test_scoring_stream(spark, workdir):
     assert len(out) == 2 and {r.predicted for r in out} <= {"win", "loss"}
 
 
-def test_hourly_star_stream(spark, workdir):
-    """Dimensions by the batch job, then timelines arriving in waves are
-    appended by the stream; a match without its detail waits for it."""
-    import os
-
-    from matchforge.streaming.incremental import start_hourly_star_load
-    landed = _land(workdir)
-    ex = B.extract(spark, landed)
-    tables = B.transform(spark, ex)
-    db = "mf_stream_star"
-    B.load(spark, {k: v for k, v in tables.items() if k not in ("match", "performance")}, db,
-           location=f"{workdir}/sdb")
-    landing = f"{workdir}/tl_landing"
-    os.makedirs(landing)
-    G.write_lines(f"{landing}/wave1.json", [G.M1])
-    ckpt = f"{workdir}/star_ckpt"
-    players = ex["players"].select("puuid")
-    details = f"{workdir}/dt_landing"
-    os.makedirs(details)
-    G.write_lines(f"{details}/d1.json", G.DETAILS)
-    q = start_hourly_star_load(spark, landing, details, players, db, ckpt)
-    q.awaitTermination()
-    spark.catalog.refreshTable(f"{db}.performance")
-    assert spark.table(f"{db}.performance").count() == 2
-    m5 = json.loads(json.dumps(G.M1))
-    m5["metadata"]["matchId"] = "M5"
-    # M1 again (skipped), M3 (no tracked summoner), M5 new for the same players
-    G.write_lines(f"{landing}/wave2.json", [G.M1, G.M3, m5])
-    q = start_hourly_star_load(spark, landing, details, players, db, ckpt)
-    q.awaitTermination()
-    spark.catalog.refreshTable(f"{db}.performance")
-    assert {r.match_id for r in spark.table(f"{db}.performance").collect()} == {"M1"}  # M5's detail is late
-    m5_detail = dict(G.DETAILS[0], match_id="M5")
-    G.write_lines(f"{details}/d2.json", [m5_detail, m5_detail])
-    G.write_lines(f"{landing}/wave3.json", [G.M2])
-    q = start_hourly_star_load(spark, landing, details, players, db, ckpt)
-    q.awaitTermination()
-    spark.catalog.refreshTable(f"{db}.performance")
-    spark.catalog.refreshTable(f"{db}.match")
-    assert sorted(r.match_id for r in spark.table(f"{db}.match").collect()) == ["M1", "M5"]
-    perf = spark.table(f"{db}.performance").collect()
-    assert sorted(r.performance_id for r in perf) == [1, 2, 3, 4]
-    assert sorted(r.champion_id for r in perf if r.match_id == "M5") == [11, 22]
-
-
-def test_hourly_star_stream_sees_its_own_earlier_batches(spark, workdir):
-    """Two files, one micro-batch each, in one run: the second repeats the
-    first; the second batch must see the first batch's appends."""
-    import os
-
-    from matchforge.streaming.incremental import start_hourly_star_load
-    landed = _land(workdir)
-    ex = B.extract(spark, landed)
-    tables = B.transform(spark, ex)
-    db = "mf_stream_star2"
-    B.load(spark, {k: v for k, v in tables.items() if k not in ("match", "performance")}, db,
-           location=f"{workdir}/sdb2")
-    landing = f"{workdir}/tl2"
-    os.makedirs(landing)
-    G.write_lines(f"{landing}/a.json", [G.M1])
-    G.write_lines(f"{landing}/b.json", [G.M1])
-    q = start_hourly_star_load(spark, landing, landed.details, ex["players"].select("puuid"), db,
-                               f"{workdir}/ck2", max_files_per_trigger=1)
-    q.awaitTermination()
-    assert len(q.recentProgress) >= 2
-    spark.catalog.refreshTable(f"{db}.performance")
-    assert spark.table(f"{db}.performance").count() == 2
-
-
 def test_command_line_run(spark, workdir):
     landed = _land(workdir)
     args = []
