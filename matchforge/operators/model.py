@@ -14,13 +14,15 @@ in a randomised 3-fold search):
 * Candidates with ``C <= 0`` are invalid: their score is null and they never
   win. The solver choice of the source grid has no Spark counterpart (one
   solver, same objective); candidates are sampled from the C grid with a seed.
-* Folds are stratified: the rows of each class are numbered (without a
-  single-task sort) and dealt out in turn, so the folds of a class differ by at
-  most one row, also among equal rows.
+* Folds are stratified: the rows of each class are numbered (without a sort or
+  a shuffle) and dealt out in turn, so the folds of a class differ by at most
+  one row, also among equal rows.
+* The search fits all (fold, C) together by Newton steps (``search``); only the
+  refit of the winner is an MLlib fit, since that is what is saved.
 * Rows with a null feature or label are left out before a fit and counted; a
   candidate without a finite score has a null score and never wins.
 
-Every fit reads a staged copy of the training table (written once to the
+Every step reads a staged copy of the training table (written once to the
 shared folder), not the lineage that built it.
 """
 
@@ -28,26 +30,26 @@ from __future__ import annotations
 
 import math
 import random
-from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchforge.functions.scalar import label_word
-from matchforge.operators.aggregates import surrogate_key
 from matchforge.operators.filters import split_rejects
 from matchforge.operators.joins import left_enrich
 from matchforge.operators.project import features_without
+from matchforge.operators.search import MAX_STEPS, Setting, fold_accuracies, newton_fits
 from matchforge.staging import stage
 from matchforge.params import MAX_ITER, TUNE_C_GRID, TUNE_CANDIDATES, TUNE_FOLDS
 
-PARALLEL_FITS = 4  # candidates fitted at a time; each holds a fold's cached rows
 FEATURE_DROP = ["champion_id", "performance_id", "match_id", "summoner_id", "champion_name"]
 LABEL = "outcome_id"
 
@@ -130,13 +132,35 @@ def fit(df: DataFrame, c_value: float, label: str = LABEL,
 
 
 def with_folds(df: DataFrame, folds: int = TUNE_FOLDS, seed: int = 0, label: str = LABEL) -> DataFrame:
-    """``df`` with ``_fold``: the rows of each class, in the order of a seeded
-    hash, dealt out in turn. Folds of a class differ by at most one row."""
-    marked = df.withColumn("_hash", F.xxhash64(F.lit(seed), *df.columns))
-    numbered = surrogate_key(marked, [label, "_hash"], "_nth")  # dense over classes: a class is one range
-    first = numbered.groupBy(F.col(label).alias("_class")).agg(F.min("_nth").alias("_first"))  # one row per class
-    return numbered.join(F.broadcast(first), F.col(label).eqNullSafe(F.col("_class"))).select(
-        *df.columns, F.pmod(F.col("_nth") - F.col("_first"), F.lit(folds)).cast("int").alias("_fold"))
+    """``df`` with ``_fold``: the rows of each class dealt out in turn, so the
+    folds of a class differ by at most one row.
+
+    No row is moved or sorted: a task numbers the rows of each class as it
+    writes them, and a table of counts (one row per task and class) says where
+    each task's numbers begin. Equal rows stay spread as they were."""
+    names = list(df.columns)
+
+    def number(batches):
+        from pyspark import TaskContext
+        part, seen = TaskContext.get().partitionId(), {}
+        for batch in batches:
+            codes = batch.column(names.index(label)).dictionary_encode()
+            index = codes.indices.to_numpy(zero_copy_only=False)
+            index = np.where(np.isnan(index), -1, index).astype(np.int64) if index.dtype.kind == "f" else index.astype(np.int64)
+            nth = np.zeros(batch.num_rows, dtype=np.int64)
+            for code in np.unique(index).tolist():
+                value, own = (None if code < 0 else codes.dictionary[code].as_py()), index == code
+                nth[own] = seen.get(value, 0) + np.arange(own.sum())
+                seen[value] = seen.get(value, 0) + int(own.sum())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, part, dtype=np.int32)), pa.array(nth)],
+                                             names=[*names, "_part", "_nth"])
+    schema = T.StructType([*df.schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_nth", T.LongType())])
+    numbered = stage(df.mapInArrow(number, schema), "numbered")
+    counts = numbered.groupBy("_part", F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_class").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("_part").alias("_of"), "_class", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return numbered.join(F.broadcast(starts), (F.col("_part") == F.col("_of")) & F.col(label).eqNullSafe(F.col("_class"))).select(
+        *names, F.pmod(F.col("_start") + F.col("_nth") + F.lit(seed), F.lit(folds)).cast("int").alias("_fold"))
 
 
 @dataclass
@@ -166,43 +190,35 @@ def best_candidate(scores: dict) -> float:
 
 
 def cross_validate(df: DataFrame, candidates: Sequence[float], label: str = LABEL, seed: int = 0,
-                   folds: int = TUNE_FOLDS, max_iter: int = MAX_ITER, parallelism: int = PARALLEL_FITS) -> dict:
+                   folds: int = TUNE_FOLDS, max_iter: int = MAX_ITER) -> dict:
     """Mean accuracy over the folds of each C; null if C is invalid or a fold
-    gives none. The moments of all folds come from one aggregation; a fold's
-    training vectors are cached once and shared by the candidates."""
+    gives none. The moments of all folds come from one aggregation, and so does
+    each Newton step of all (fold, C) at once; one more job scores them all."""
     features = feature_columns(df, label)
     data = stage(with_folds(df, folds, seed, label), "folds")
     parts = {p["_fold"]: p for p in moments(data, features, "_fold")}
-    results: dict = {c: [] for c in candidates}
+    settings = []
     for f in range(folds):
         stats = merged([p for k, p in parts.items() if k != f], features)
-        pipe = Pipeline(stages=[scaler_of(stats, features), _assembler(features)])
-        ready = pipe.fit(data).transform(data).select("_fold", label, "features")
-        train = ready.filter(F.col("_fold") != f).persist(StorageLevel.MEMORY_AND_DISK)
-        test = ready.filter(F.col("_fold") == f)
-
-        def accuracy(c, train=train, test=test, n=stats["_n"]):
-            if c <= 0 or not n:
-                return c, None
-            hit = F.avg((F.col("prediction") == F.col(label)).cast("double"))
-            return c, _classifier(c, n, label, max_iter).fit(train).transform(test).agg(hit).first()[0]
-
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            for c, a in pool.map(accuracy, candidates):
-                results[c].append(a)
-        train.unpersist()
-    return {c: (sum(a) / folds if all(x is not None and math.isfinite(x) for x in a) else None) for c, a in results.items()}
+        deviations = tuple((stats[f"v_{c}"] or 0.0) ** 0.5 or 1.0 for c in features)
+        settings += [Setting(f, float(c), tuple(stats[f"m_{c}"] or 0.0 for c in features), deviations, stats["_n"])
+                     for c in dict.fromkeys(candidates) if c > 0 and stats["_n"]]
+    fits = newton_fits(data, features, label, "_fold", settings, min(max_iter, MAX_STEPS)) if settings else []
+    results: dict = {c: [] for c in candidates}
+    for s, a in zip(settings, fold_accuracies(data, features, label, "_fold", settings, fits) if settings else []):
+        results[s.c].append(a)
+    return {c: (sum(a) / folds if len(a) == folds and all(x is not None and math.isfinite(x) for x in a) else None) for c, a in results.items()}
 
 
 def tune_and_fit(df: DataFrame, label: str = LABEL, seed: int = 0,
                  candidates: Sequence[float] | None = None, folds: int = TUNE_FOLDS,
-                 max_iter: int = MAX_ITER, parallelism: int = PARALLEL_FITS) -> TuneResult:
+                 max_iter: int = MAX_ITER) -> TuneResult:
     """Randomised search over C with k-fold accuracy, then a refit of the best
     C on every complete row. ``df`` should be staged (read from storage)."""
     cands = list(candidates) if candidates is not None else sample_candidates(seed)
     rows = complete_rows(df, label)
     incomplete = df.filter(" OR ".join(f"`{c}` IS NULL" for c in df.columns)).count()
-    scores = cross_validate(rows, cands, label, seed, folds, max_iter, parallelism)
+    scores = cross_validate(rows, cands, label, seed, folds, max_iter)
     best_c = best_candidate(scores)
     model = fit(rows, best_c, label, feature_columns(df, label), max_iter)
     return TuneResult(best_c, scores[best_c], scores, model, incomplete)

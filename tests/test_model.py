@@ -109,3 +109,56 @@ def test_rows_with_nulls_are_left_out_and_counted(spark):
     whole, with_bad = (tune_and_fit(x, candidates=[1.0], seed=1) for x in (df, df.unionByName(bad)))
     assert with_bad.incomplete == 2 and whole.incomplete == 0
     assert np.allclose(whole.model.stages[-1].coefficients.toArray(), with_bad.model.stages[-1].coefficients.toArray())
+
+
+def test_newton_fits_equal_the_library_fits(spark):
+    """Every (fold, C) against a fit of the library on the same rows."""
+    from pyspark.sql import functions as F
+
+    from matchforge.operators.model import cross_validate, merged, moments, with_folds
+    from matchforge.operators.search import Setting, newton_fits
+    _, _, df = _data(spark, n=240)
+    features, data = ["a", "b", "c", "const"], with_folds(df, seed=4)
+    rows = data.collect()
+    assert sorted((r.a, r.b) for r in rows) == sorted((r.a, r.b) for r in df.collect())
+    parts = {p["_fold"]: p for p in moments(data, features, "_fold")}
+    settings, want, scores = [], [], {}
+    for f in range(3):
+        stats = merged([p for k, p in parts.items() if k != f], features)
+        for c in (0.5, 4.0):
+            settings.append(Setting(f, c, tuple(stats[f"m_{x}"] for x in features), tuple(stats[f"v_{x}"] ** 0.5 or 1.0 for x in features), stats["_n"]))
+            model = fit(data.where(F.col("_fold") != f).drop("_fold"), c)
+            want.append(np.r_[model.stages[-1].coefficients.toArray(), model.stages[-1].intercept])
+            hit = model.transform(data.where(F.col("_fold") == f)).agg(F.avg((F.col("prediction") == F.col("outcome_id")).cast("double"))).first()[0]
+            scores.setdefault(c, []).append(hit)
+    got = newton_fits(data, features, "outcome_id", "_fold", settings)
+    assert np.allclose(got, want, atol=1e-4)
+    assert cross_validate(df, [0.0, 0.5, 4.0], seed=4) == {0.0: None, **{c: sum(a) / 3 for c, a in scores.items()}}
+
+
+def test_newton_steps_that_overshoot_are_halved(spark):
+    """Classes that a feature separates, an outlier and a large C, where plain
+    steps diverge: the gradient still ends near zero."""
+    from matchforge.operators.search import Setting, newton_fits
+    x = np.array([*range(30), *range(100, 129), 1e4])
+    y = np.r_[np.zeros(30), np.ones(30)]
+    df = spark.createDataFrame([(float(a), float(b), -1) for a, b in zip(x, y)], "a double, outcome_id double, _fold int")
+    s = Setting(None, 1000.0, (float(x.mean()),), (float(x.std()),), 60)
+    theta = newton_fits(df, ["a"], "outcome_id", "_fold", [s])[0]
+    z = np.c_[(x - x.mean()) / x.std(), np.ones(60)]
+    p = 1 / (1 + np.exp(-z @ theta))
+    assert np.abs(s.c * z.T @ (p - y) + [theta[0], 0]).max() < 1e-4 * s.c
+    w = s.raw(theta)
+    assert np.allclose(x * w[0] + w[1], z @ theta)
+
+
+def test_hundred_thousand_equal_rows_stay_spread(spark):
+    from pyspark.sql import functions as F
+
+    from matchforge.operators.model import with_folds
+    df = spark.range(0, 100_000, 1, 8).select(F.lit(1.0).alias("a"), (F.col("id") % 2).cast("int").alias("outcome_id"))
+    out = with_folds(df)
+    assert "Exchange rangepartitioning" not in out._jdf.queryExecution().toString()
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 25_000
+    assert sorted(r["count"] for r in out.groupBy("outcome_id", "_fold").count().collect()) == [16_666, 16_666, 16_667, 16_667, 16_667, 16_667]
