@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from matchforge.operators import dims
 from matchforge.operators.facts import split_incomplete
 from matchforge.operators.filters import in_region
-from matchforge.operators.flatten import (extract_tables, latest_matches, one_per_match,
+from matchforge.operators.flatten import (extract_tables, latest_matches, of_matches, one_per_match,
                                           performance_from_timelines)
 from matchforge.operators.load import load_star, save_model, write_parquet
 from matchforge.operators.model import feature_table, tune_and_fit
@@ -64,8 +64,9 @@ def extract(spark: SparkSession, landed: Landed, mode: str = "all",
                .unionByName(timeline_rejects.select(F.lit("timelines").alias("source"), "raw"))
                .unionByName(header_rejects.select(F.lit("headers").alias("source"), "raw"))
                .unionByName(detail_rejects.select(F.lit("details").alias("source"), "raw")))
-    timelines = stage(one_per_match(timelines, "metadata.matchId"), "timelines")
-    details = stage(one_per_match(details, "match_id"), "details")
+    # only tracked matches' documents are shuffled and staged
+    timelines = stage(one_per_match(of_matches(timelines, "metadata.matchId", players), "metadata.matchId"), "timelines")
+    details = stage(one_per_match(of_matches(details, "match_id", players), "match_id"), "details")
     out = extract_tables(timelines, details, players)
     out.update(roster=roster, profiles=profiles, accounts=accounts, summoners=summoners,
                champions=D.champion_rows(D.read_champion_catalog(spark, landed.champions)),
