@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from matchforge.operators.load import append_if_absent, load_model, load_star, save_model, write_parquet
 from matchforge.operators.model import (best_candidate, cross_validate, feature_table, fit, merged, moments, parse_requests,
                                         sample_candidates, scaler_of, score, with_folds)
+from matchforge.operators.aggregates import surrogate_key
 from matchforge.operators.project import features_without, name_positionally
 from matchforge.plans.fixture_views import table
 from matchforge.session import scratch_path
 from matchforge.sources.documents import profiles
 from matchforge.sources.files import read_parquet
+from matchforge.staging import stage
 
 FEATURES = ["quantity", "price", "discount", "tax"]
 
@@ -116,13 +118,17 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def append_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with two unique keys appended in key order to a target: a row is
-    skipped if either key is taken by then. The second key pairs neighbours:
-    order 2k and 2k + 1 share it, so the first of the two that is left stays."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.floor(F.col("o_orderkey") / 2).cast("long").alias("pair"), "o_custkey")
-    path = scratch_path(spark, "two-keys")
-    o.filter("o_orderkey % 10 = 3").write.parquet(path)
-    append_if_absent(o.unionByName(o), path, [["o_orderkey"], ["pair"]], ["o_orderkey"])
+    """Orders with two unique keys appended in key order to the open ones among
+    them: a row is skipped if either key is taken by then. The keys are made
+    from a row's place among the others: within a run of places that no open
+    order breaks, neighbours conflict through one key or the other, so that
+    whether a row stays depends on the whole run before it."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    o = surrogate_key(o, ["o_orderkey"], "place").select(
+        "o_orderkey", "status", F.floor(F.col("place") / 2).cast("long").alias("left_key"), F.floor((F.col("place") + 1) / 2).cast("long").alias("right_key"))
+    o, path = stage(o, "two-keys-rows"), scratch_path(spark, "two-keys")
+    o.filter("status = 'P'").write.parquet(path)
+    append_if_absent(o.unionByName(o), path, [["left_key"], ["right_key"]], ["o_orderkey"])
     return spark.read.parquet(path)
 
 
@@ -167,12 +173,17 @@ WITH r AS (SELECT l_orderkey * 10 + l_linenumber AS key,
 SELECT key, p AS prediction, CASE p WHEN 1 THEN 'win' WHEN 0 THEN 'loss' END AS predicted FROM r
 """,
     "feature_file": "SELECT l_quantity AS f1, l_tax AS f2, p_size AS f3 FROM lineitem LEFT JOIN part ON l_partkey = p_partkey",
+    # Open orders stay. Of the others, those that share no key with an open one
+    # form runs of neighbours, in which every second row stays.
     "append_two_keys": """
-WITH o AS (SELECT o_orderkey, o_orderkey // 2 AS pair, o_custkey FROM orders),
-t AS (SELECT * FROM o WHERE o_orderkey % 10 = 3),
-b AS (SELECT * FROM o WHERE pair NOT IN (SELECT pair FROM t))
-SELECT * FROM t UNION ALL SELECT o_orderkey, pair, o_custkey FROM (
-  SELECT *, row_number() OVER (PARTITION BY pair ORDER BY o_orderkey) AS rn FROM b) WHERE rn = 1
+WITH o AS (SELECT *, place // 2 AS left_key, (place + 1) // 2 AS right_key FROM (
+        SELECT o_orderkey, o_orderstatus AS status, row_number() OVER (ORDER BY o_orderkey) AS place FROM orders)),
+t AS (SELECT * FROM o WHERE status = 'P'),
+b AS (SELECT * FROM o WHERE status <> 'P' AND left_key NOT IN (SELECT left_key FROM t) AND right_key NOT IN (SELECT right_key FROM t)),
+r AS (SELECT *, place - row_number() OVER (ORDER BY place) AS run FROM b),
+k AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY place) AS nth FROM r)
+SELECT o_orderkey, status, left_key, right_key FROM t UNION ALL
+SELECT o_orderkey, status, left_key, right_key FROM k WHERE nth % 2 = 1
 """,
     "profile_pages": """
 SELECT page_id AS "DT_RowId", if(page_id % 7 = 0, NULL, 'Page & ' || page_id) AS name,

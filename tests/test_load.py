@@ -184,3 +184,47 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
                 return default
     with pytest.raises(RuntimeError):
         session.shared_dir(Session())
+
+
+def _kept_by_inserts(rows, keys, order):
+    taken, kept = [set() for _ in keys], []
+    for r in sorted(rows, key=order):
+        mine = [tuple(r[i] for i in k) for k in keys]
+        if all(None in m or m not in t for m, t in zip(mine, taken)):
+            kept.append(r)
+            for m, t in zip(mine, taken):
+                t.add(m)
+    return sorted(kept, key=str)
+
+
+def test_several_keys_equal_row_by_row_inserts(spark):
+    """As one ordered pass and by components, against inserts one by one."""
+    import random
+
+    from matchforge.operators.load import insert_or_skip
+    for seed, one_task in [(1, 1000), (2, 0), (3, 0)]:
+        r = random.Random(seed)
+        rows = [(i, r.choice([None, *range(25)]), r.randint(0, 20), r.choice("abcdefghijklmnop")) for i in range(150)]
+        df = spark.createDataFrame(rows, "o int, a int, b int, c string").repartition(4)
+        got = insert_or_skip(df, [["a"], ["b", "c"], ["c", "a"]], ["o"], one_task_rows=one_task)
+        assert sorted(map(tuple, got.collect()), key=str) == _kept_by_inserts(rows, [[1], [2, 3], [3, 1]], lambda x: x[0])
+
+
+def test_components_follow_long_chains(spark):
+    from matchforge.operators.load import conflict_components
+    rows = spark.range(300).selectExpr("id AS _nth", "id div 2 AS a", "(id + 1) div 2 AS b").where("_nth <> 100")
+    got = dict(map(tuple, conflict_components(rows, [["a"], ["b"]]).collect()))
+    assert set(got.values()) == {0, 101} and got[99] == 0 and got[299] == 101
+
+
+def test_a_chain_of_ten_thousand_rows_takes_few_jobs(spark):
+    from matchforge.operators.load import insert_or_skip
+    tracker, group = spark.sparkContext.statusTracker(), "chain-of-rows"
+    chain = spark.range(10_000).selectExpr("id AS o", "id div 2 AS a", "(id + 1) div 2 AS b")
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        kept = sorted(r.o for r in insert_or_skip(chain, [["a"], ["b"]], ["o"]).collect())
+    finally:
+        spark.sparkContext.setJobGroup("default", "default")
+    assert kept == list(range(0, 10_000, 2))
+    assert len(tracker.getJobIdsForGroup(group)) < 30
