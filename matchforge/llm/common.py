@@ -97,7 +97,7 @@ class Cuts:
     part is emptied when it is full, so memory stays bounded and words that
     occur once don't drive out common ones."""
 
-    def __init__(self, young: int = 200_000, old: int = 250_000):
+    def __init__(self, young: int = 400_000, old: int = 500_000):
         self.limits, self.young, self.old = (young, old), {}, {}
 
     def get(self, words: list[str]) -> list[bytes | None]:

@@ -269,7 +269,9 @@ def _skipped(keys: np.ndarray, code: np.ndarray, lists: list[np.ndarray], limit:
         inner = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
         abc = flat[begin[c][of] + inner]
         hit = np.flatnonzero(_draw(keys[lo:lo + AT_ONCE][of], abc[:, 0], abc[:, 1], abc[:, 2]) < np.uint64(limit))
-        np.bitwise_or.at(out[lo:lo + AT_ONCE], of[hit], np.uint64(1) << inner[hit].astype(np.uint64))
+        if len(hit):  # the bits of an occurrence differ: their sum is their union
+            at = np.flatnonzero(np.r_[True, of[hit][1:] != of[hit][:-1]])
+            out[lo + of[hit][at]] = np.add.reduceat(np.uint64(1) << inner[hit].astype(np.uint64), at)
     return out
 
 
