@@ -1,2 +1,2 @@
-"""Training-data operators: ten numbered operators over ``documents`` and their
+"""Training-data operators: thirteen numbered operators over ``documents`` and their
 queries. Nothing else in the library imports this subpackage."""

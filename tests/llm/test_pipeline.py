@@ -51,5 +51,5 @@ def test_stages_handle_odd_rows(spark, odd, none):
 
 
 def test_registered():
-    assert [k.split("_")[0] for k in queries()] == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert [k.split("_")[0] for k in queries()] == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
     assert set(oracle_sql()) <= set(queries())
