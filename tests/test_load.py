@@ -228,3 +228,108 @@ def test_a_chain_of_ten_thousand_rows_takes_few_jobs(spark):
         spark.sparkContext.setJobGroup("default", "default")
     assert kept == list(range(0, 10_000, 2))
     assert len(tracker.getJobIdsForGroup(group)) < 30
+
+
+def _star_state(spark, db):
+    from matchforge import schemas as S
+    from matchforge.operators.load import refresh_star
+    refresh_star(spark, db)
+    return {n: sorted(map(tuple, spark.table(f"{db}.`{n}`").collect())) for n in S.STAR_LOAD_ORDER}
+
+
+def test_a_load_killed_between_two_appends_shows_nothing(spark, monkeypatch):
+    """Readers see the old state in all eight tables; the rerun shows the new
+    one in all of them, and what the killed load left is gone."""
+    from matchforge.operators import load as module
+    db = "mf_star_killed"
+    load_star(spark, db, _star_batches(spark))
+    before = _star_state(spark, db)
+    more = _star_batches(spark)
+    more["country"] = spark.createDataFrame([("Spain",), ("Peru",)], "country_name STRING")
+    more["champion"] = spark.createDataFrame([(12, "Y", 1, 2, 3)], more["champion"].schema)
+    more["match"] = spark.createDataFrame([("M2", 30)], more["match"].schema)
+    more["performance"] = spark.createDataFrame([("M2", "A2", 12, 4, 4, 4, 4, 4, 4, 0)], more["performance"].schema)
+    append = module.append_load
+
+    def killed(rows, db, name, load_id):
+        if name == "performance":
+            raise RuntimeError("killed")
+        append(rows, db, name, load_id)
+    monkeypatch.setattr(module, "append_load", killed)
+    with pytest.raises(RuntimeError, match="killed"):
+        load_star(spark, db, more)
+    monkeypatch.setattr(module, "append_load", append)
+    left = spark.table(f"{db}.match_rows").select("load_id").distinct().count()
+    assert left == 2 and _star_state(spark, db) == before
+    # ... nor if it dies after the last append, before it is published.
+    monkeypatch.setattr(module, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError, match="killed"):
+        load_star(spark, db, more)
+    monkeypatch.undo()
+    assert _star_state(spark, db) == before
+    counts = load_star(spark, db, more)
+    after = _star_state(spark, db)
+    assert {n for n, c in counts.items() if c} == {"country", "champion", "match", "performance"}
+    assert [r[:4] for r in after["performance"]] == [(1, "M1", "A2", 11), (2, "M2", "A2", 12)]
+    assert after["country"] == [("Peru",), ("Spain",)]
+    for name in ("country", "performance"):  # no row of the two killed loads
+        assert spark.table(f"{db}.{name}_rows").select("load_id").distinct().count() == 2
+    assert spark.table(f"{db}.loads").count() == 2
+
+
+def test_row_counts_take_no_job_of_their_own(spark):
+    """Counts come with the write; a plan that Spark proves empty is counted."""
+    from matchforge.staging import stage_observed
+    tracker, group = spark.sparkContext.statusTracker(), "observed-count"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        copy, seen = stage_observed(spark.range(1000).selectExpr("id", "nullif(id % 10, 3) AS k"), "seen",
+                                    rows=F.count(F.lit(1)), nulls=F.count_if(F.col("k").isNull()), low=F.min("k"))
+    finally:
+        spark.sparkContext.setJobGroup("default", "default")
+    assert seen == {"rows": 1000, "nulls": 100, "low": 0} and copy.count() == 1000
+    assert len(tracker.getJobIdsForGroup(group)) == 1
+    _, none = stage_observed(spark.range(5).where("false"), "none", rows=F.count(F.lit(1)))
+    assert none == {"rows": 0}
+
+
+def test_an_append_reads_the_batch_s_month_and_key_range(spark, workdir):
+    from matchforge.operators import load as module
+    path = f"{workdir}/months"
+    rows = spark.range(3000).selectExpr("id AS k", "concat('2024-', lpad(id div 1000 + 1, 2, '0')) AS month", "'old' AS v")
+    rows.repartition("month").write.partitionBy("month").parquet(path)
+    batch = spark.range(1990, 2010).selectExpr("id + 5 AS k", "'2024-' || lpad((id + 5) div 1000 + 1, 2, '0') AS month", "'new' AS v").where("k >= 2000")
+    late = spark.createDataFrame([(3001, "2024-03", "new"), (2999, "2024-03", "new"), (3001, "2024-03", "zz")], "k long, month string, v string")
+    batch = batch.unionByName(late)
+    seen = batch.agg(*[c.alias(n) for n, c in module.key_range([["k"]]).items()]).first().asDict()
+    read = module.within_partitions(module.within_range(spark.read.parquet(path), [["k"]], seen), batch, ["month"])
+    assert all("month=2024-03" in f for f in _files_read(read)) and seen == {"min_k": 2000, "max_k": 3001}
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,2000)" in plan and "LessThanOrEqual(k,3001)" in plan
+    append_if_absent(batch, path, [["k"]], ["v"], partition_by=["month"])
+    after = {r.k: (r.month, r.v) for r in spark.read.parquet(path).collect()}
+    assert len(after) == spark.read.parquet(path).count() == 3001
+    assert after[2999] == ("2024-03", "old") and after[3001] == ("2024-03", "new")
+
+
+def _files_read(df):
+    """Files that the scan of a filtered partitioned table selects."""
+    return [r.f for r in df.select(F.input_file_name().alias("f")).distinct().collect()]
+
+
+def test_partitions_beyond_the_list_and_null_ones(spark, workdir, monkeypatch):
+    from matchforge.operators import load as module
+    target = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "k int, p string")
+    target.write.partitionBy("p").parquet(f"{workdir}/p")
+    target = spark.read.parquet(f"{workdir}/p")
+    batch = spark.createDataFrame([(9, "a"), (2, None)], "k int, p string")
+    assert sorted(r.k for r in module.within_partitions(target, batch, ["p"]).collect()) == [1, 2]
+    assert sorted(r.k for r in module.within_partitions(target, batch.dropna(), ["p"]).collect()) == [1]
+    monkeypatch.setattr(module, "LISTED_PARTITIONS", 0)
+    assert sorted(r.k for r in module.within_partitions(target, batch, ["p"]).collect()) == [1, 2]
+
+
+def test_keys_of_other_types_are_not_narrowed(spark):
+    from matchforge.operators.load import within_range
+    target = spark.createDataFrame([(1.5,), (2.5,)], "k double")
+    assert within_range(target, [["k"]], {"min_k": 9.0, "max_k": 9.0}).count() == 2
