@@ -44,32 +44,38 @@ def extract(spark: SparkSession, landed: Landed, mode: str = "all",
     """Flatten one run's landed documents. Each tracked player counts in the
     latest ranked-solo match of their match list; ``region`` optionally
     restricts the accounts."""
-    roster = D.roster(D.read_roster(spark, landed.roster), mode)
-    pages = D.read_json(spark, landed.profiles, D.S.PROFILE_PAGE)
+    # Every source is parsed once into the shared folder; records that do not
+    # parse go to a rejects table instead of vanishing or turning into nulls.
+    rejected: dict[str, DataFrame] = {}
+
+    def documents(source: str, path: str, schema, multiline: bool = False) -> DataFrame:
+        good, rejected[source] = D.read_json_with_rejects(spark, path, schema, multiline)
+        return good
+    roster = D.roster(documents("roster", landed.roster, D.S.ROSTER, True), mode)
+    pages = documents("profiles", landed.profiles, D.S.PROFILE_PAGE)
     profiles = D.profiles(pages.join(roster.select("DT_RowId"), ["DT_RowId"], "left_semi"),
                           list(profile_keys))
-    # Feeds, timelines and details are parsed once into the shared folder;
-    # records that do not parse go to a rejects table instead of vanishing.
-    feeds, feed_rejects = D.read_json_with_rejects(spark, landed.feeds, D.S.MATCH_FEED)
+    feeds = documents("feeds", landed.feeds, D.S.MATCH_FEED)
     accounts = D.latest_accounts(
         feeds.join(roster.select("DT_RowId"), ["DT_RowId"], "left_semi"))
     accounts = in_region(accounts, region)
-    summoners = D.summoners(D.read_summoners(spark, landed.summoners), accounts)
-    headers, header_rejects = D.read_json_with_rejects(spark, landed.headers, D.S.MATCH_HEADER)
+    summoners = D.summoners(documents("summoners", landed.summoners, D.S.SUMMONER), accounts)
+    headers = documents("headers", landed.headers, D.S.MATCH_HEADER)
     tracked = summoners.select("puuid").filter(F.col("puuid").isNotNull()).distinct()
     players = stage(latest_matches(headers.join(tracked, ["puuid"], "left_semi")), "players")
-    timelines, timeline_rejects = D.read_json_with_rejects(spark, landed.timelines, D.S.TIMELINE)
-    details, detail_rejects = D.read_json_with_rejects(spark, landed.details, D.S.MATCH_DETAIL)
-    rejects = (feed_rejects.select(F.lit("feeds").alias("source"), "raw")
-               .unionByName(timeline_rejects.select(F.lit("timelines").alias("source"), "raw"))
-               .unionByName(header_rejects.select(F.lit("headers").alias("source"), "raw"))
-               .unionByName(detail_rejects.select(F.lit("details").alias("source"), "raw")))
+    timelines = documents("timelines", landed.timelines, D.S.TIMELINE)
+    details = documents("details", landed.details, D.S.MATCH_DETAIL)
+    catalogs = documents("champions", landed.champions, D.S.CHAMPION_CATALOG, True)
+    rejects = None
+    for source, bad in rejected.items():
+        rows = bad.select(F.lit(source).alias("source"), F.lit("unparsable").alias("reason"), "raw")
+        rejects = rows if rejects is None else rejects.unionByName(rows)
     # only tracked matches' documents are shuffled and staged
     timelines = stage(one_per_match(of_matches(timelines, "metadata.matchId", players), "metadata.matchId"), "timelines")
     details = stage(one_per_match(of_matches(details, "match_id", players), "match_id"), "details")
     out = extract_tables(timelines, details, players)
     out.update(roster=roster, profiles=profiles, accounts=accounts, summoners=summoners,
-               champions=D.champion_rows(D.read_champion_catalog(spark, landed.champions)),
+               champions=D.champion_rows(catalogs),
                timelines=timelines, details=details, players=players, rejects=rejects)
     return out
 

@@ -145,10 +145,42 @@ def profile_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles(pages, ["Name", "Birthplace"]).select("DT_RowId", F.col("Name").alias("name"), F.col("Birthplace").alias("birthplace"))
 
 
-CHECKED = [standardise_features, fold_sizes, candidate_scores, fit_stationarity, score_requests, feature_file, load_counts,
+def append_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders up to 1997 in a target partitioned by month; the orders from
+    December 1997 on are appended, and read only the months they name."""
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", month.alias("month"), "o_custkey")
+    path = scratch_path(spark, "append-months")
+    o.where("month < '1998-01'").withColumn("src", F.lit("target")).repartition("month").write.partitionBy("month").parquet(path)
+    append_if_absent(o.where("month >= '1997-12'").withColumn("src", F.lit("batch")), path, [["o_orderkey"]], partition_by=["month"])
+    schema = "o_orderkey long, o_custkey long, src string, month string"  # or months are read as days
+    return spark.read.schema(schema).parquet(path)
+
+
+def many_keyed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pages whose words name a pair each, with the following word
+    as its value: far more distinct keys than a pivot may have. Each page's
+    pairs as one map, shown as (doc_id, key, value)."""
+    from matchforge.sources.documents import kv_map
+    pages = table(spark, sf_dir, "documents").select("doc_id", "text")
+    wide = kv_map(pages, "doc_id", "text", r"([a-z]+) ([a-z]+)")
+    return wide.select("doc_id", F.explode("pairs").alias("key", "value"))
+
+
+CHECKED = [append_by_month, many_keyed_pages, standardise_features, fold_sizes, candidate_scores, fit_stationarity, score_requests, feature_file, load_counts,
            append_two_keys, profile_pages]
 
 CHECKED_SQL = {
+    "append_by_month": """
+SELECT o_orderkey, o_custkey, if(m < '1998-01', 'target', 'batch') AS src, m AS month
+FROM (SELECT *, strftime(o_orderdate, '%Y-%m') AS m FROM orders)
+""",
+    "many_keyed_pages": """
+WITH p AS (SELECT doc_id, unnest(regexp_extract_all(text, '([a-z]+) ([a-z]+)', 1)) AS key,
+                  unnest(regexp_extract_all(text, '([a-z]+) ([a-z]+)', 2)) AS value,
+                  unnest(range(len(regexp_extract_all(text, '([a-z]+) ([a-z]+)', 1)))) AS ord FROM documents)
+SELECT doc_id, key, arg_min(value, ord) AS value FROM p GROUP BY doc_id, key
+""",
     "standardise_features": """
 WITH s AS (SELECT avg(l_quantity) mq, stddev_pop(l_quantity) sq, avg(l_extendedprice) mp, stddev_pop(l_extendedprice) sp,
                   avg(l_discount) md, stddev_pop(l_discount) sd FROM lineitem)
