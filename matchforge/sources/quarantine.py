@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from matchforge.operators.load import read_target
 from matchforge.sources.documents import parsed_lines
-from matchforge.staging import drop_staged, stage, stage_observed
+from matchforge.staging import drop_staged, stage, stage_measured
 
 REPAIRED = "repaired"
 RECORD = "record_id string, attempt bigint, raw string, source string, reason string"
@@ -63,7 +63,7 @@ def replay(spark: SparkSession, path: str, source: str, schema, needed: Sequence
     else:
         tried = tried.withColumn("value", F.lit(None).cast("string"))
     lines = tried.withColumn("value", F.coalesce("value", "raw"))
-    rows, n = stage_observed(parsed_lines(lines, schema, needed), f"replay-{source}",
+    rows, n = stage_measured(parsed_lines(lines, schema, needed), f"replay-{source}",
                              repaired=F.count_if(F.col("why").isNull()), failed=F.count("why"))
     usable = rows.where("why IS NULL")
     merge(usable.select("doc.*", "record_id", (F.col("attempts") + 1).alias("attempts")))

@@ -7,10 +7,7 @@ that the job can remove them when its own output is written.
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from matchforge.session import scratch_path
 
@@ -23,16 +20,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def stage_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
-    """A staged copy and aggregates over it, observed while it is written, so
-    that they cost no pass of their own. They are observed in the stage that
-    writes, where every finished task counts once, also after a retry. A plan
-    that Spark proves empty may report nothing; then the copy is read."""
-    seen = Observation(f"{name}-{uuid.uuid4().hex}")
-    values = [column.alias(key) for key, column in metrics.items()]
-    copy = stage(df.observe(seen, *values), name)
-    found = seen.get
-    return copy, found if set(metrics) <= set(found) else copy.agg(*values).first().asDict()
+def stage_measured(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """A staged copy and aggregates over it, in one pass over the columns they
+    need. Not by an ``Observation`` on the write: a session that has observed
+    anything is no longer serializable, and models that MLlib fits in it (their
+    summaries hold the session) could then not be applied."""
+    copy = stage(df, name)
+    return copy, copy.agg(*[column.alias(key) for key, column in metrics.items()]).first().asDict()
 
 
 def drop_staged(spark: SparkSession, df: DataFrame) -> None:

@@ -277,20 +277,24 @@ def test_a_load_killed_between_two_appends_shows_nothing(spark, monkeypatch):
     assert spark.table(f"{db}.loads").count() == 2
 
 
-def test_row_counts_take_no_job_of_their_own(spark):
-    """Counts come with the write; a plan that Spark proves empty is counted."""
-    from matchforge.staging import stage_observed
-    tracker, group = spark.sparkContext.statusTracker(), "observed-count"
+def test_measures_of_a_staged_copy(spark):
+    """Two jobs at most: the write and one pass over the copy. A model that is
+    fitted later in the same session can still be applied."""
+    from matchforge.operators.model import fit, score
+    from matchforge.staging import stage_measured
+    tracker, group = spark.sparkContext.statusTracker(), "measured-copy"
     spark.sparkContext.setJobGroup(group, group)
     try:
-        copy, seen = stage_observed(spark.range(1000).selectExpr("id", "nullif(id % 10, 3) AS k"), "seen",
+        copy, seen = stage_measured(spark.range(1000).selectExpr("id", "nullif(id % 10, 3) AS k"), "seen",
                                     rows=F.count(F.lit(1)), nulls=F.count_if(F.col("k").isNull()), low=F.min("k"))
     finally:
         spark.sparkContext.setJobGroup("default", "default")
     assert seen == {"rows": 1000, "nulls": 100, "low": 0} and copy.count() == 1000
-    assert len(tracker.getJobIdsForGroup(group)) == 1
-    _, none = stage_observed(spark.range(5).where("false"), "none", rows=F.count(F.lit(1)))
-    assert none == {"rows": 0}
+    assert len(tracker.getJobIdsForGroup(group)) <= 3
+    _, none = stage_measured(spark.range(5).where("false"), "none", rows=F.count(F.lit(1)), low=F.min("id"))
+    assert none == {"rows": 0, "low": None}
+    rows = spark.createDataFrame([(float(i % 7), i % 2) for i in range(60)], "a DOUBLE, outcome_id INT")
+    assert score(fit(rows, 1.0), rows, features=["a"]).count() == 60
 
 
 def test_an_append_reads_the_batch_s_month_and_key_range(spark, workdir):
