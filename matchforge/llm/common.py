@@ -101,16 +101,14 @@ class Cuts:
         self.limits, self.young, self.old = (young, old), {}, {}
 
     def get(self, words: list[str]) -> list[bytes | None]:
-        old, young, out = self.old, self.young, []
+        old, young = self.old, self.young
         if len(old) > self.limits[1]:
             old.clear()
-        for w in words:
-            x = old.get(w)
-            if x is None:
-                x = young.pop(w, None)
-                if x is not None:
-                    old[w] = x
-            out.append(x)
+        out = list(map(old.get, words))
+        for i in [i for i, x in enumerate(out) if x is None]:
+            x = young.pop(words[i], None)
+            if x is not None:
+                old[words[i]] = out[i] = x
         return out
 
     def put(self, words: list[str], cuts: list[bytes]) -> None:
@@ -124,8 +122,13 @@ def pooled(cuts: list[bytes], of: np.ndarray, sizes: np.ndarray) -> list[np.ndar
     """Ids of texts: ``of`` numbers the cut of each of their words, ``sizes``
     says how many words each text has."""
     count = np.fromiter(map(len, cuts), dtype=np.int64, count=len(cuts)) // 4
-    pool, at, n = np.frombuffer(b"".join(cuts), dtype="<u4"), np.cumsum(count) - count, count[of]
-    flat = pool[np.repeat(at[of] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    return laid(np.frombuffer(b"".join(cuts), dtype="<u4"), (np.cumsum(count) - count)[of], count[of], sizes)
+
+
+def laid(pool: np.ndarray, at: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Ids of texts whose words have ``n`` ids of the pool from ``at`` on each;
+    ``sizes`` says how many words each text has."""
+    flat = pool[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())]
     ends = np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(sizes)]]
     return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import uuid
 import zlib
@@ -27,11 +28,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchforge.llm.common import Cuts, by_bytes, id_text, pooled, ship, shuffle_parts, sliced, stage
+from matchforge.llm.words import as_bytes, cut_texts
 from matchforge.session import scratch_path
 
 MAGIC = b"MFTOKEN1"
@@ -39,14 +42,16 @@ HEADER = struct.Struct("<8sIIQQQQ")  # magic, bits, ids per block, ids, document
 BLOCK = 1 << 16
 NO_ID = -(1 << 63)  # stands for a null document id
 STEP = 4 << 20
+BATCH = 20_000  # chunks that the tokenizer encodes at a time
 MARKS = ".,;:!?"
 
 #: A chunk is white space and what follows up to the next white space. The
 #: tokenizer's own splitting always cuts where a chunk begins, except at white
 #: space beyond ASCII, so texts that have such are encoded whole.
-CHUNK = re.compile(r"[ \t\n\v\f\r]*[^ \t\n\v\f\r]+|[ \t\n\v\f\r]+")
-WIDE_SPACE = re.compile("[%s]" % "".join(map(chr, [
-    *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200E), *range(0x2028, 0x2030), 0x205F, 0x2060, 0x3000, 0xFEFF])))
+WIDE_SPACE = "[%s]" % "".join(f"\\x{{{c:x}}}" for c in [
+    *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200E), *range(0x2028, 0x2030), 0x205F, 0x2060, 0x3000, 0xFEFF])
+IS_SPACE, IS_MARK, IS_LETTER = (np.isin(np.arange(256), list(x)) for x in (
+    b" \t\n\v\f\r", MARKS.encode(), string.ascii_letters.encode()))
 
 
 def bits_for(vocabulary: int) -> int:
@@ -176,36 +181,40 @@ def _tokenizer(path: str):
 _CUTS: dict[str, Cuts] = {}  # of this worker process, by tokenizer
 
 
-def encode(path: str, texts: list[str | None]) -> list[np.ndarray]:
+def _chunks(raw: np.ndarray, begins: np.ndarray) -> None:
+    """Chunks begin at white space; a mark behind a letter, at a chunk's end, is
+    a token of its own, so "word," shares the cut of "word"."""
+    space = IS_SPACE[raw]
+    begins[1:-1] |= space[1:] & ~space[:-1]
+    begins[1:-1] |= IS_MARK[raw[1:]] & IS_LETTER[raw[:-1]] & begins[2:]
+
+
+def encode(path: str, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
     """Ids of whole texts, as the tokenizer gives them without special tokens;
     it encodes each distinct chunk of a step once."""
     t = _tokenizer(path)
-    lists = [CHUNK.findall(x) if x and not WIDE_SPACE.search(x) else [] for x in texts]
-    sizes = np.array([len(x) for x in lists], dtype=np.int64)
-    out: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * len(texts)
-    if sizes.sum():
-        d = pa.array([c for x in lists for c in x], type=pa.string()).dictionary_encode()
-        del lists
-        distinct = d.dictionary.to_pylist()
-        # A mark behind a letter is a token of its own, so "word," shares the cut of "word".
-        base = [c[:-1] if c[-1] in MARKS and c[-2:-1].isalpha() else c for c in distinct]
-        words = list(dict.fromkeys(base))
+    text = texts if isinstance(texts, pa.Array) else pa.array(texts, type=pa.string())
+    wide = pc.fill_null(pc.match_substring_regex(text, WIDE_SPACE), False)
+    whole = np.flatnonzero(wide.to_numpy(zero_copy_only=False))
+    chunks, sizes = cut_texts(pc.if_else(wide, "", text) if len(whole) else text, _chunks)
+    out: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * len(text)
+    if len(chunks):
+        d = chunks.dictionary_encode()
+        words = as_bytes(d.dictionary)
         memory = _CUTS.setdefault(path, Cuts())
-        cuts = dict(zip(words, memory.get(words)))
-        need = [w for w, x in cuts.items() if x is None]
-        new: list[bytes] = []
-        for a in range(0, len(need), 50_000):  # as the words of one text, so that one result holds all
-            e = t.encode(need[a:a + 50_000], is_pretokenized=True, add_special_tokens=False)
-            of = np.array(e.word_ids, dtype=np.int64)
-            new += sliced(np.array(e.ids), np.bincount(of, minlength=len(need[a:a + 50_000])))
-        cuts.update(zip(need, new))
-        memory.put(need, new)
-        mark = {c: np.array(t.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes() for c in MARKS}
-        whole = [cuts[b] if len(b) == len(c) else cuts[b] + mark[c[-1]] for b, c in zip(base, distinct)]
-        out = pooled(whole, d.indices.to_numpy(zero_copy_only=False), sizes)
-    for i, x in enumerate(texts):
-        if x and not sizes[i]:
-            out[i] = np.array(t.encode(x, add_special_tokens=False).ids, dtype=np.uint32)
+        cuts = memory.get(words)
+        need = [i for i, x in enumerate(cuts) if x is None]
+        for a in range(0, len(need), BATCH):  # as the words of one text, so that one result holds all
+            some = need[a:a + BATCH]
+            own = [words[i] for i in some]
+            e = t.encode([w.decode() for w in own], is_pretokenized=True, add_special_tokens=False)
+            new = sliced(np.array(e.ids), np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(own)))
+            memory.put(own, new)
+            for i, x in zip(some, new):
+                cuts[i] = x
+        out = pooled(cuts, d.indices.to_numpy(zero_copy_only=False), sizes)
+    for i in whole.tolist():
+        out[i] = np.array(t.encode(text[i].as_py(), add_special_tokens=False).ids, dtype=np.uint32)
     return out
 
 
@@ -222,7 +231,7 @@ def _write(folder: str, tokenizer: str, end_id: int, bits: int):
                 out = system.open_output_stream(own)
                 writer = Writer(out, bits)
             ids = batch.column("id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            lists = [np.concatenate([x, last]) for x in encode(tokenizer, batch.column("txt").to_pylist())]
+            lists = [np.concatenate([x, last]) for x in encode(tokenizer, batch.column("txt"))]
             writer.add(ids, lists)
         if writer is not None:
             writer.close()

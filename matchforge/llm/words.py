@@ -6,6 +6,8 @@ characters whole under that rule.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,6 +26,36 @@ def split_words(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return doc[keep], words.filter(some)
 
 
+def cut_texts(text: pa.Array, cut: Callable[[np.ndarray, np.ndarray], None]) -> tuple[pa.Array, np.ndarray]:
+    """(pieces of all texts behind one another, how many each text has); null
+    texts have none. ``cut`` gets the texts' bytes and a flag for each (and one
+    more), set where a text begins, and sets it where other pieces begin."""
+    text = pc.fill_null(text.cast(pa.string()), "")
+    none = pa.array([], type=pa.string()), np.zeros(len(text), dtype=np.int64)
+    if not len(text):
+        return none
+    ends = np.frombuffer(text.buffers()[1], dtype=np.int32)[text.offset:text.offset + len(text) + 1]
+    first, n = int(ends[0]), int(ends[-1] - ends[0])
+    if not n:
+        return none
+    data = text.buffers()[2].slice(first, n)
+    begins = np.zeros(n + 1, dtype=bool)
+    begins[ends - first] = True
+    cut(np.frombuffer(data, dtype=np.uint8), begins)
+    at = np.flatnonzero(begins).astype(np.int32)
+    sizes = np.diff(np.searchsorted(at, ends - first))
+    return pa.Array.from_buffers(pa.string(), len(at) - 1, [None, pa.py_buffer(at), data]), sizes
+
+
+def as_bytes(words: pa.Array) -> list[bytes]:
+    """The words' UTF-8 bytes (no nulls)."""
+    if not len(words):
+        return []
+    ends = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset:words.offset + len(words) + 1].tolist()
+    raw = words.buffers()[2].slice(0, ends[-1]).to_pybytes() if ends[-1] else b""
+    return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def codes_of(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """(code of each word, distinct words)."""
     d = words.dictionary_encode()

@@ -3,11 +3,15 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+import matchforge.llm.token_files as T
+from matchforge.llm.common import Cuts
 from matchforge.llm.token_files import (Reader, Writer, bits_for, encode, pack, read_token_files, token_files, unpack,
                                         write_token_files)
+from matchforge.llm.words import as_bytes, cut_texts
 from tests.llm.conftest import ODD_ROWS
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +31,22 @@ def test_chunks_encode_like_whole_texts(library, texts):
     assert [x.tolist() for x in encode(PATH, some)] == [library(x) for x in some]
 
 
+def test_chunks_are_cut_without_a_string_each(library):
+    """Slices with an offset, marks at chunks' ends, and a memory of words that
+    holds no more than its bound."""
+    some = ["one, two; one: two! (three). x1, é, a.b, .,", None, "", "y", " ", "two,\n", "\xa0 one,", "three.", ", one"]
+    text = pa.array(["skipped, ", *some, "skipped"]).slice(1, len(some))
+    chunks, sizes = cut_texts(text, T._chunks)
+    assert chunks.to_pylist()[:8] == ["one", ",", " two", ";", " one", ":", " two", "!"] and sizes.sum() == len(chunks)
+    assert sizes.tolist()[1:6] == [0, 0, 1, 1, 3] and "".join(chunks.to_pylist()) == "".join(x or "" for x in some)
+    assert [x.tolist() for x in encode(PATH, text)] == [library(x) for x in some]
+    words, memory = as_bytes(chunks.slice(2, 4)), Cuts(3, 2)
+    assert words == [b" two", b";", b" one", b":"]
+    for _ in range(3):
+        memory.put(words[:3], [b"1", b"2", b"3"])
+        assert memory.get(words) == [b"1", b"2", b"3", None] and len(memory.old) + len(memory.young) <= 6
+
+
 @pytest.mark.parametrize("bits", [1, 5, 15, 16, 17, 23, 32])
 def test_packing_round_trip(bits):
     rng = np.random.default_rng(bits)
