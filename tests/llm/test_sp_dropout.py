@@ -94,3 +94,26 @@ def test_every_occurrence_draws_its_own_merges(model, texts):
         assert a.tolist() == want and S.decode(model, a) == (t or "")
     plain = S.encode(model, some, ids, 7, 0.0)
     assert [x.tolist() for x in plain] == [x.tolist() for x in S.encode(model, some, ids, 7, 0.0, 1)]
+
+
+def test_trees_of_words_keep_every_cut(model, texts, monkeypatch):
+    """Cuts from the words' trees are those of the agenda: over steps, with
+    nodes that are dropped in between, at rates that go deep, and words met
+    again are not cut again."""
+    some, limit = [*list(texts.values())[:12], *ODD], int(0.4 * 2**64)
+    paths = S.Paths(model, 300)
+    monkeypatch.setitem(S._PATHS, model.path, paths)
+    for step in range(4):
+        ids = np.arange(len(some)) + 1000 * step
+        for i, t, a in zip(ids.tolist(), some, S.encode(model, some, ids, 7, 0.4)):
+            want = []
+            for k, w in enumerate(S.WORDS.findall(" " + t) if t else []):
+                want += S._bytes(model, S.agenda(model, w, S._mix1(S._mix1(i ^ 7) ^ k), limit))[0].tolist()
+            assert a.tolist() == want
+    assert (paths.up < np.arange(len(paths.up))).all() and len(paths.ids) == paths.n_ids.sum()
+    monkeypatch.setitem(S._PATHS, model.path, S.Paths(model))
+    plain = S.encode(model, some * 2, np.arange(2 * len(some)), 7, 0.0)
+    calls = []
+    monkeypatch.setattr(S, "rounds", lambda *x: calls.append(x))
+    again = S.encode(model, some[:12], np.arange(12), 7, 0.0)
+    assert not calls and [x.tolist() for x in again] == [x.tolist() for x in plain[:12]]
