@@ -201,7 +201,7 @@ def encode(path: str, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
     if len(chunks):
         d = chunks.dictionary_encode()
         words = as_bytes(d.dictionary)
-        memory = _CUTS.setdefault(path, Cuts())
+        memory = _CUTS.setdefault(path, Cuts(200_000, 300_000))
         cuts = memory.get(words)
         need = [i for i, x in enumerate(cuts) if x is None]
         for a in range(0, len(need), BATCH):  # as the words of one text, so that one result holds all
